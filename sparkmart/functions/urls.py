@@ -22,9 +22,13 @@ def percent_decode(text: Column) -> Column:
 
 
 def url_param(url: Column, name: str) -> Column:
-    """One query parameter, name matched in any case, decoded, null when absent or empty."""
+    """One query parameter, name matched in any case, decoded, null when absent or empty.
+
+    Most URLs lack most parameters; the plain text test spares them the pattern.
+    """
     raw = F.regexp_extract(url, f"(?i)[?&]{re.escape(name)}=([^&#]*)", 1)
-    return blank_to_null(percent_decode(raw))
+    maybe = F.contains(F.lower(url), F.lit(f"{name.lower()}="))
+    return F.when(maybe, blank_to_null(percent_decode(raw)))
 
 
 def before_query(url: Column) -> Column:

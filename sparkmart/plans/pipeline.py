@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,76 +66,88 @@ def staging_table(raw: RawTables, name: str) -> DataFrame:
     return plan(raw(system, table))
 
 
-def build(
-    raw: RawTables,
-    stored: Mapping[str, DataFrame] | None = None,
-    seeds: Mapping[str, DataFrame] | None = None,
-) -> dict[str, DataFrame]:
-    """Every table as a lazy plan. ``stored`` replaces plans by written tables."""
-    stored = stored or {}
-    t: dict[str, DataFrame] = {
-        name: seeds[name] if seeds and name in seeds else seed(raw.spark, name)
-        for name in SEED_DDL
-    }
-
-    def put(name: str, plan: Callable[[], DataFrame]) -> None:
-        t[name] = stored[name] if name in stored else plan()
-
-    for name in STAGING:
-        put(name, lambda name=name: staging_table(raw, name))
-    put(
-        "orders_enriched",
-        lambda: intermediate.orders_enriched(
-            t["shopify_orders"],
-            t["shopify_order_lines"],
-            t["shopify_order_refunds"],
-            t["shopify_order_refund_lines"],
-        ),
-    )
-    put(
-        "customers_enriched",
-        lambda: intermediate.customers_enriched_in_one_scan(raw("shopify", "customers")),
-    )
-    put(
-        "discount_codes_enriched",
-        lambda: intermediate.discount_codes_enriched(
-            t["shopify_discount_codes"],
-            t["shopify_price_rules"],
-            t["discount_code_types"],
-            t["orders_enriched"],
-        ),
-    )
-    put(
-        "campaigns_unioned",
-        lambda: intermediate.campaigns_unioned(
-            {
-                "Meta": t["meta_campaigns"],
-                "Google Ads": t["google_campaigns"],
-                "TikTok": t["tiktok_campaigns"],
-                "LinkedIn": t["linkedin_campaigns"],
-            }
-        ),
+def _codes(t: Tables) -> DataFrame:
+    return intermediate.discount_codes_enriched(
+        t["shopify_discount_codes"],
+        t["shopify_price_rules"],
+        t["discount_code_types"],
+        t["orders_enriched"],
     )
-    put(
-        "campaign_performance_daily",
-        lambda: intermediate.campaign_performance_daily(
-            meta=t["meta_ad_stats_daily"],
-            google=t["google_campaign_stats_daily"],
-            tiktok=t["tiktok_campaign_stats_daily"],
-            linkedin=t["linkedin_campaign_stats_daily"],
-        ),
+
+
+def _orders(t: Tables) -> DataFrame:
+    return intermediate.orders_enriched(
+        t["shopify_orders"],
+        t["shopify_order_lines"],
+        t["shopify_order_refunds"],
+        t["shopify_order_refund_lines"],
     )
-    put(
-        "dim_campaigns",
-        lambda: marts.dim_campaigns(t["campaigns_unioned"], t["campaign_attributes"]),
+
+
+def _campaigns(t: Tables) -> DataFrame:
+    return intermediate.campaigns_unioned(
+        {
+            "Meta": t["meta_campaigns"],
+            "Google Ads": t["google_campaigns"],
+            "TikTok": t["tiktok_campaigns"],
+            "LinkedIn": t["linkedin_campaigns"],
+        }
     )
-    put(
-        "fct_campaign_performance_daily",
-        lambda: marts.fct_campaign_performance_daily(
-            t["campaign_performance_daily"], t["dim_campaigns"]
-        ),
+
+
+def _performance(t: Tables) -> DataFrame:
+    return intermediate.campaign_performance_daily(
+        meta=t["meta_ad_stats_daily"],
+        google=t["google_campaign_stats_daily"],
+        tiktok=t["tiktok_campaign_stats_daily"],
+        linkedin=t["linkedin_campaign_stats_daily"],
     )
-    return t
+
+
+# table -> plan over the other tables
+DERIVED: dict[str, Callable[[Tables], DataFrame]] = {
+    "orders_enriched": _orders,
+    "customers_enriched": lambda t: intermediate.customers_enriched_in_one_scan(
+        t.raw("shopify", "customers")
+    ),
+    "discount_codes_enriched": _codes,
+    "campaigns_unioned": _campaigns,
+    "campaign_performance_daily": _performance,
+    "dim_campaigns": lambda t: marts.dim_campaigns(
+        t["campaigns_unioned"], t["campaign_attributes"]
+    ),
+    "fct_campaign_performance_daily": lambda t: marts.fct_campaign_performance_daily(
+        t["campaign_performance_daily"], t["dim_campaigns"]
+    ),
+}
+
+
+class Tables(Mapping[str, DataFrame]):
+    """Every table by name. A plan is made when it is first asked for.
+
+    ``stored`` holds frames to use instead of a plan: written tables, or seeds
+    kept elsewhere.
+    """
+
+    def __init__(self, raw: RawTables, stored: Mapping[str, DataFrame] | None = None):
+        self.raw = raw
+        self._made: dict[str, DataFrame] = dict(stored or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            if name in SEED_DDL:
+                self._made[name] = seed(self.raw.spark, name)
+            elif name in STAGING:
+                self._made[name] = staging_table(self.raw, name)
+            else:
+                self._made[name] = DERIVED[name](self)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(dict.fromkeys([*SEED_DDL, *STAGING, *DERIVED, *self._made]))
+
+    def __len__(self) -> int:
+        return len(list(iter(self)))
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
@@ -170,7 +182,7 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def run(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+def run(spark: SparkSession, settings: Settings) -> Tables:
     """Load the incremental tables, record the history, write the marts.
 
     Order lines are written too: two branches of the enriched orders and several
@@ -203,8 +215,7 @@ def run(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
         ),
     }
     for name in ("dim_campaigns", "fct_campaign_performance_daily"):
-        plan = build(raw, stored)[name]
+        plan = Tables(raw, stored)[name]
         stored[name] = write_table(plan, settings.table_path("marts_marketing", name))
-    tables = build(raw, stored)
-    tables["meta_campaigns_history"] = history.versions()
-    return tables
+    stored["meta_campaigns_history"] = history.versions()
+    return Tables(raw, stored)

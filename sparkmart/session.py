@@ -13,9 +13,20 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",  # dynamic only where a loader asks
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM never compiles a method over 8000 bytes. Wide staging projections
+    # would end up in one and run interpreted; past the limit Spark splits them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Set the defaults on a session made elsewhere."""
+    for key, value in DEFAULTS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "sparkmart", master: str | None = None, **conf: str) -> SparkSession:
     """Create or reuse a session. ``conf`` keys use ``__`` for dots.
 

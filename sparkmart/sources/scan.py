@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,15 +44,15 @@ def scan(spark: SparkSession, settings: Settings, system: str, table: str) -> Da
 class RawTables:
     """Raw tables by system and table name.
 
-    ``raw("shopify", "orders")`` scans the configured folder, unless the frame
-    was handed in.
+    ``raw("shopify", "orders")`` scans the configured folder, unless a frame (or
+    a function making it) was handed in.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         settings: Settings | None = None,
-        frames: dict[tuple[str, str], DataFrame] | None = None,
+        frames: dict[tuple[str, str], DataFrame | Callable[[], DataFrame]] | None = None,
     ):
         self.spark = spark
         self._settings = settings
@@ -62,7 +63,8 @@ class RawTables:
             raise KeyError(f"{system}.{table} is not declared")
         given = self._frames.get((system, table))
         if given is not None:
-            return conform(given, raw_schema(system, table))
+            df = given() if callable(given) else given
+            return conform(df, raw_schema(system, table))
         if self._settings is None:
             raise KeyError(f"no frame and no settings for {system}.{table}")
         return scan(self.spark, self._settings, system, table)

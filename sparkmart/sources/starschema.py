@@ -9,6 +9,8 @@ escapes, tags, refunds.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .scan import RawTables
@@ -24,6 +26,15 @@ def star(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a small file: one row group is one task.
+
+    Inputs with at least a task per core, so any large table, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shopify_orders(orders: DataFrame) -> DataFrame:
     base = orders.selectExpr(
         "*",
@@ -572,12 +583,20 @@ PROJECTIONS = {
 }
 
 
+# Read by JSON-heavy projections; worth all cores even for one small file.
+_SPREAD = ("orders", "events")
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """All raw tables as projections of the star schema in ``sf_dir``."""
+
+    def frame(table: str, project: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
+        def make() -> DataFrame:
+            rows = star(spark, sf_dir, table)
+            return project(spread(rows) if table in _SPREAD else rows)
+
+        return make
+
     return RawTables(
-        spark,
-        frames={
-            key: project(star(spark, sf_dir, table))
-            for key, (table, project) in PROJECTIONS.items()
-        },
+        spark, frames={key: frame(table, project) for key, (table, project) in PROJECTIONS.items()}
     )
