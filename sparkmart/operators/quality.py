@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .conform import union_all
 from .enrich import unmatched
 
 
@@ -61,13 +61,20 @@ def duplicate_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Non-null child values without a parent row, with their row count."""
+    """Non-null child values without a parent row, with their row count.
+
+    The same id can be text in one system and a number in another; such keys are
+    compared as text, since a cast to a number fails on any other text.
+    """
+    value, key = F.col(column), F.col(parent_column)
+    if child.schema[column].dataType != parent.schema[parent_column].dataType:
+        value, key = value.cast("string"), key.cast("string")
     values = (
         child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+        .groupBy(value.alias("value"))
         .agg(F.count("*").alias("row_count"))
     )
-    return unmatched(values, parent.select(F.col(parent_column).alias("value")), ["value"])
+    return unmatched(values, parent.select(key.alias("value")), ["value"])
 
 
 def failing_rows(df: DataFrame, checks: Checks) -> DataFrame:
@@ -125,4 +132,4 @@ def report(tables: Mapping[str, DataFrame], suite: Mapping[str, Checks]) -> Data
         for column, (parent, parent_column) in checks.refers_to.items():
             bad = orphans(df, column, tables[parent], parent_column)
             parts.append(_one(name, "relationships", column, bad, rows))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)

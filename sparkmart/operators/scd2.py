@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from ..sources.files import Files
 
@@ -142,7 +142,7 @@ class History:
         # The newest run has the widest schema; older ones fill up with nulls.
         newest = self.spark.read.parquet(f"{self.path}/run={runs[-1]}").schema
         return (
-            self.spark.read.schema(StructType([*newest]).add("run", "int"))
+            self.spark.read.schema(StructType([*newest]).add("run", IntegerType()))
             .option("basePath", self.path)
             .parquet(*[f"{self.path}/run={r}" for r in runs])
         )

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..operators.conform import union_all
 from ..operators.enrich import unmatched
 from ..operators.quality import Checks
 from ..sources.scan import RawTables
@@ -286,7 +285,7 @@ def unmapped_utm_pairs(
         df.select(*[F.col(f"{prefix}{c}").alias(c) for c in pair]).distinct()
         for df, prefix in ((orders, ""), (journeys, "first_visit_"), (journeys, "last_visit_"))
     ]
-    seen = reduce(DataFrame.union, pairs).distinct()
+    seen = union_all(pairs).distinct()
     named = seen.where(F.col("utm_source").isNotNull() | F.col("utm_medium").isNotNull())
     return unmatched(named, channel_mapping.where(F.col("channel").isNotNull()), pair)
 
@@ -306,12 +305,11 @@ def unreconciled_spend(fact: DataFrame, raw: RawTables, tolerance: float = 0.01)
             F.sum("costInUsd").alias("total")
         ),
     }
-    sources = reduce(
-        DataFrame.unionByName,
+    sources = union_all(
         [
             df.select(F.lit(platform).alias("platform"), F.col("total").alias("source_spend"))
             for platform, df in totals.items()
-        ],
+        ]
     )
     facts = fact.groupBy("platform").agg(F.sum("spend").alias("fact_spend"))
     zero = F.lit(0.0)

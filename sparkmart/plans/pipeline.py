@@ -143,6 +143,11 @@ class Tables(Mapping[str, DataFrame]):
                 self._made[name] = DERIVED[name](self)
         return self._made[name]
 
+    def write(self, name: str, path: str) -> DataFrame:
+        """Write one table; tables made from it afterwards read the written one."""
+        self._made[name] = write_table(self[name], path)
+        return self._made[name]
+
     def __iter__(self) -> Iterator[str]:
         return iter(dict.fromkeys([*SEED_DDL, *STAGING, *DERIVED, *self._made]))
 
@@ -206,16 +211,15 @@ def run(spark: SparkSession, settings: Settings) -> Tables:
     )
     history.snapshot(raw("facebook_marketing", "campaigns"), settings.run_time)
 
-    stored = {
-        "ga4_events": events.read(),
-        "meta_ad_stats_daily": ad_stats.read(),
-        "shopify_order_lines": write_table(
-            staging_table(raw, "shopify_order_lines"),
-            settings.table_path("staging", "shopify_order_lines"),
-        ),
-    }
+    tables = Tables(
+        raw,
+        {
+            "ga4_events": events.read(),
+            "meta_ad_stats_daily": ad_stats.read(),
+            "meta_campaigns_history": history.versions(),
+        },
+    )
+    tables.write("shopify_order_lines", settings.table_path("staging", "shopify_order_lines"))
     for name in ("dim_campaigns", "fct_campaign_performance_daily"):
-        plan = Tables(raw, stored)[name]
-        stored[name] = write_table(plan, settings.table_path("marts_marketing", name))
-    stored["meta_campaigns_history"] = history.versions()
-    return Tables(raw, stored)
+        tables.write(name, settings.table_path("marts_marketing", name))
+    return tables
