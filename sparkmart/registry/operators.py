@@ -11,7 +11,7 @@ from ..operators.incremental import since
 from ..operators.latest import latest_per_key
 from ..operators.enrich import left_enrich, unmatched
 from ..plans import intermediate
-from ..sources.starschema import star
+from ..sources.starschema import spread, star
 from .present import Query, day, query, ts
 
 
@@ -28,7 +28,7 @@ def orders_enriched_lineitem(spark, sf):
         (c("o_orderstatus") == "P").alias("is_cancelled"),
         (c("o_orderpriority") == "4-NOT SPECIFIED").alias("is_wholesale"),
     )
-    items = star(spark, sf, "lineitem")
+    items = spread(star(spark, sf, "lineitem"))
     line_id = (c("l_orderkey") * 10 + c("l_linenumber")).alias("order_line_id")
     lines = items.select(
         c("l_orderkey").alias("order_id"),
@@ -186,7 +186,7 @@ def line_money(spark, sf):
     c = F.col
     eighth = c("l_extendedprice") / 8
     micros = F.round(c("l_extendedprice") * 100).cast("bigint") * 10000 + 5000
-    return star(spark, sf, "lineitem").select(
+    return spread(star(spark, sf, "lineitem")).select(
         "l_orderkey",
         "l_partkey",
         "l_linenumber",

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import apply_defaults
@@ -26,20 +25,19 @@ class Query:
 def present(df: DataFrame) -> DataFrame:
     """Integers as bigint, decimals as double, dates and instants as text."""
 
-    def plain(field: T.StructField):
-        col = F.col(f"`{field.name}`")
-        kind = field.dataType
+    def plain(field: T.StructField) -> str:
+        name, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
-            col = col.cast("bigint")
-        elif isinstance(kind, (T.DecimalType, T.FloatType)):
-            col = col.cast("double")
-        elif isinstance(kind, T.DateType):
-            col = F.date_format(col, "yyyy-MM-dd")
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        return col.alias(field.name)
-
-    return df.select(*[plain(f) for f in df.schema])
+            return f"cast({name} as bigint) as {name}"
+        if isinstance(kind, (T.DecimalType, T.FloatType)):
+            return f"cast({name} as double) as {name}"
+        if isinstance(kind, T.DateType):
+            return f"date_format({name}, 'yyyy-MM-dd') as {name}"
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') as {name}"
+        return name
+
+    return df.selectExpr(*[plain(f) for f in df.schema])
 
 
 def query(run: QueryFn, sql: str | None = None) -> Query:

@@ -21,10 +21,13 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
     Zoneless timestamps become instants. Unknown columns are dropped.
     """
-    present = set(df.columns)
-    return df.select(
+    given = {f.name: f.dataType for f in df.schema}
+    return df.selectExpr(
         *[
-            (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"`{f.name}`"
+            if given.get(f.name) == f.dataType
+            else f"cast({f'`{f.name}`' if f.name in given else 'null'} as"
+            f" {f.dataType.simpleString()}) as `{f.name}`"
             for f in schema
         ]
     )

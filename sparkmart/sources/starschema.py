@@ -583,8 +583,8 @@ PROJECTIONS = {
 }
 
 
-# Read by JSON-heavy projections; worth all cores even for one small file.
-_SPREAD = ("orders", "events")
+# Read by costly projections; worth all cores even for one small file.
+_SPREAD = ("orders", "events", "lineitem")
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
