@@ -53,7 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local session
     without that setting falls back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    key = "spark.checkpoint.dir"
+    root = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the executors")
