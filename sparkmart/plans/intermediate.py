@@ -15,11 +15,23 @@ from . import shopify
 MONEY_SUM = "decimal(38,2)"
 
 
+# Columns of the order lines that each use below reads.
+LINE_TOTALS = ("order_id", "quantity", "is_gift_card", "gross_amount", "discount_amount")
+LINE_PRODUCTS = ("order_line_id", "product_id")
+
+
 def orders_enriched(
-    orders: DataFrame, order_lines: DataFrame, refunds: DataFrame, refund_lines: DataFrame
+    orders: DataFrame,
+    order_lines: DataFrame,
+    refunds: DataFrame,
+    refund_lines: DataFrame,
+    line_products: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order with line counts and refunds attributed back to it.
 
+    ``line_products`` is the order lines again, narrowed to ``LINE_PRODUCTS``;
+    without it they are taken from ``order_lines``.
+
     Each detail table is reduced to one row per order before its join, so an
     order with any number of lines costs one row per map task in the shuffle, and
     all three joins share the partitioning on ``order_id``.
@@ -51,7 +63,7 @@ def orders_enriched(
     refunded_counts = (
         left_enrich(
             refund_lines.select("order_id", "order_line_id").distinct(),
-            order_lines.select("order_line_id", "product_id"),
+            (order_lines if line_products is None else line_products).select(*LINE_PRODUCTS),
             ["order_line_id"],
         )
         .groupBy("order_id")

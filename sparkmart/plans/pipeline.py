@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,11 +76,17 @@ def _codes(t: Tables) -> DataFrame:
 
 
 def _orders(t: Tables) -> DataFrame:
+    def lines(columns: Sequence[str]) -> DataFrame:
+        if t.is_stored("shopify_order_lines"):
+            return t["shopify_order_lines"].select(*columns)
+        return shopify.order_lines(t.raw("shopify", "orders"), only=columns)
+
     return intermediate.orders_enriched(
         t["shopify_orders"],
-        t["shopify_order_lines"],
+        lines(intermediate.LINE_TOTALS),
         t["shopify_order_refunds"],
         t["shopify_order_refund_lines"],
+        lines(intermediate.LINE_PRODUCTS),
     )
 
 
@@ -132,6 +138,10 @@ class Tables(Mapping[str, DataFrame]):
     def __init__(self, raw: RawTables, stored: Mapping[str, DataFrame] | None = None):
         self.raw = raw
         self._made: dict[str, DataFrame] = dict(stored or {})
+        self._stored = set(self._made)
+
+    def is_stored(self, name: str) -> bool:
+        return name in self._stored
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
@@ -146,6 +156,7 @@ class Tables(Mapping[str, DataFrame]):
     def write(self, name: str, path: str) -> DataFrame:
         """Write one table; tables made from it afterwards read the written one."""
         self._made[name] = write_table(self[name], path)
+        self._stored.add(name)
         return self._made[name]
 
     def __iter__(self) -> Iterator[str]:

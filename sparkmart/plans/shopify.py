@@ -6,6 +6,8 @@ exploding an array inside the row), so none of them shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +31,33 @@ LANDING_PARAMS = {
 }
 LOWERED = ("utm_source", "utm_medium")
 
-_LINE = (
-    "id:string,product_id:string,variant_id:string,sku:string,title:string,"
-    "variant_title:string,vendor:string,quantity:string,price:string,gift_card:string,"
-    "requires_shipping:string,fulfillment_status:string,"
-    "discount_allocations:array<struct<amount:string>>,tax_lines:array<struct<price:string>>"
-)
+# Fields of one order line in the JSON.
+_LINE = {
+    "id": "string",
+    "product_id": "string",
+    "variant_id": "string",
+    "sku": "string",
+    "title": "string",
+    "variant_title": "string",
+    "vendor": "string",
+    "quantity": "string",
+    "price": "string",
+    "gift_card": "string",
+    "requires_shipping": "string",
+    "fulfillment_status": "string",
+    "discount_allocations": "array<struct<amount:string>>",
+    "tax_lines": "array<struct<price:string>>",
+}
+# Output columns that read other fields than the one of their own name.
+_LINE_READS = {
+    "order_line_id": ("id",),
+    "product_title": ("title",),
+    "unit_price": ("price",),
+    "gross_amount": ("price", "quantity"),
+    "discount_amount": ("discount_allocations",),
+    "tax_amount": ("tax_lines",),
+    "is_gift_card": ("gift_card",),
+}
 _REFUND_LINE = (
     "id:string,line_item_id:string,quantity:string,subtotal:string,total_tax:string,"
     "restock_type:string,location_id:string"
@@ -146,38 +169,51 @@ def orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def order_lines(raw_orders: DataFrame) -> DataFrame:
-    """One row per order line, from the array inside the order."""
+def _line_columns() -> dict[str, Callable[[], Column]]:
+    def text(field: str) -> Column:
+        return F.col(f"line.{field}")
+
+    def amounts(field: str, key: str) -> Column:
+        return fn.sum_items(text(field), lambda x: fn.money(x[key]), "decimal(38,2)")
+
+    return {
+        "order_line_id": lambda: text("id").cast("bigint"),
+        "order_id": lambda: F.col("order_id"),
+        "product_id": lambda: text("product_id").cast("bigint"),
+        "variant_id": lambda: text("variant_id").cast("bigint"),
+        "sku": lambda: text("sku"),
+        "product_title": lambda: text("title"),
+        "variant_title": lambda: text("variant_title"),
+        "vendor": lambda: text("vendor"),
+        "quantity": lambda: text("quantity").cast("int"),
+        "unit_price": lambda: fn.money(text("price")),
+        "gross_amount": lambda: fn.money(text("price")) * text("quantity").cast("int"),
+        "discount_amount": lambda: amounts("discount_allocations", "amount"),
+        "tax_amount": lambda: amounts("tax_lines", "price"),
+        "is_gift_card": lambda: text("gift_card").cast("boolean"),
+        "requires_shipping": lambda: text("requires_shipping").cast("boolean"),
+        "fulfillment_status": lambda: text("fulfillment_status"),
+        "order_created_at": lambda: F.col("order_created_at"),
+    }
+
+
+def order_lines(raw_orders: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
+    """One row per order line, from the array inside the order.
+
+    ``only`` names the wanted columns. Column pruning stops at the JSON text, so
+    the parse is narrowed here: fields nobody reads are skipped by the parser.
+    """
+    columns = _line_columns()
+    wanted = list(only or columns)
+    fields = {f for name in wanted for f in _LINE_READS.get(name, (name,))}
+    ddl = ",".join(f"{name}:{kind}" for name, kind in _LINE.items() if name in fields)
+    ddl = ddl or "id:string"
     lines = raw_orders.select(
         F.col("id").alias("order_id"),
         F.col("created_at").alias("order_created_at"),
-        F.explode(fn.parse_objects(F.col("line_items"), _LINE)).alias("line"),
-    )
-    c = F.col
-    price, quantity = fn.money(c("line.price")), c("line.quantity").cast("int")
-    return lines.select(
-        c("line.id").cast("bigint").alias("order_line_id"),
-        "order_id",
-        c("line.product_id").cast("bigint").alias("product_id"),
-        c("line.variant_id").cast("bigint").alias("variant_id"),
-        c("line.sku").alias("sku"),
-        c("line.title").alias("product_title"),
-        c("line.variant_title").alias("variant_title"),
-        c("line.vendor").alias("vendor"),
-        quantity.alias("quantity"),
-        price.alias("unit_price"),
-        (price * quantity).alias("gross_amount"),
-        fn.sum_items(
-            c("line.discount_allocations"), lambda a: fn.money(a["amount"]), "decimal(38,2)"
-        ).alias("discount_amount"),
-        fn.sum_items(
-            c("line.tax_lines"), lambda t: fn.money(t["price"]), "decimal(38,2)"
-        ).alias("tax_amount"),
-        c("line.gift_card").cast("boolean").alias("is_gift_card"),
-        c("line.requires_shipping").cast("boolean").alias("requires_shipping"),
-        c("line.fulfillment_status").alias("fulfillment_status"),
-        "order_created_at",
+        F.explode(fn.parse_objects(F.col("line_items"), ddl)).alias("line"),
     )
+    return lines.select(*[columns[name]().alias(name) for name in wanted])
 
 
 def order_refunds(raw: DataFrame) -> DataFrame:

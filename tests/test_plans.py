@@ -290,3 +290,15 @@ def test_the_whole_job_twice(spark, sf_dir, raw_files, tmp_path):
     assert spark.sql("SELECT count(DISTINCT platform) FROM fct").first()[0] == 4
     refreshed = pipeline.run(spark, settings(datetime(2024, 6, 3), full_refresh=True))
     assert differences(present(refreshed["ga4_events"]), con, QUERIES["ga4_events"].sql) is None
+
+
+def test_order_lines_parse_only_wanted_fields(spark):
+    raw = raw_frame(spark, "shopify", "orders", ORDERS)
+    full = shopify.order_lines(raw)
+    for columns in (intermediate.LINE_TOTALS, intermediate.LINE_PRODUCTS, ["vendor", "tax_amount"]):
+        narrow = shopify.order_lines(raw, only=columns)
+        assert sorted(map(tuple, narrow.collect()), key=str) == sorted(
+            map(tuple, full.select(*columns).collect()), key=str
+        )
+    plan = shopify.order_lines(raw, only=["order_line_id"])._jdf.queryExecution().toString()
+    assert "tax_lines" not in plan.split("Optimized Logical Plan")[1]
