@@ -19,16 +19,12 @@ HEADLINE = (
     "customers_enriched",
     "discount_codes_enriched",
     "ga4_events",
-    "ga4_event_items",
     "meta_ad_stats_daily",
     "google_campaigns",
-    "campaign_performance_daily",
     "fct_campaign_performance_daily",
     "latest_order_per_customer",
     "shipping_delay",
     "line_money",
-    "event_props",
-    "incremental_replace_days",
     "incremental_delete_insert",
     "scd2_history",
     "dq_star_report",
@@ -38,7 +34,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         "bench",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,13 +43,13 @@ def full_name(*parts: Column) -> Column:
 
 def has_tag(tags: Column, tag: str) -> Column:
     """Whether a comma list holds ``tag``; a missing list holds nothing."""
-    pattern = rf"(^|,){_SPACE}*{tag}{_SPACE}*(,|\z)"
+    pattern = rf"(^|,){_SPACE}*{re.escape(tag)}{_SPACE}*(,|\z)"
     return F.rlike(F.coalesce(tags, F.lit("")), F.lit(pattern))
 
 
 def strip_prefix(text: Column, word: str) -> Column:
     """Remove a leading ``<word> - ``."""
-    return F.regexp_replace(text, rf"^{word}{_SPACE}*-{_SPACE}*", "")
+    return F.regexp_replace(text, rf"^{re.escape(word)}{_SPACE}*-{_SPACE}*", "")
 
 
 def list_part(text: Column, position: int, delimiter: str = ",") -> Column:

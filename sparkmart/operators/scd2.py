@@ -147,6 +147,16 @@ class History:
             .parquet(*[f"{self.path}/run={r}" for r in runs])
         )
 
+    def drop_superseded(self, keep: int = 2) -> None:
+        """Delete the open versions of all but the last ``keep`` runs.
+
+        Every run writes them anew and readers only use the last ones, so without
+        this the folder grows by one copy of the table per run. Closed versions
+        stay.
+        """
+        for run in self.runs()[:-keep]:
+            self._files.delete(f"{self.path}/run={run}/{self._OPEN}=1")
+
     def versions(self) -> DataFrame:
         """Every version, open and closed."""
         runs = self.runs()

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="2000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("OFF")

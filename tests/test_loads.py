@@ -198,3 +198,18 @@ def test_new_source_column_joins_the_history(spark, tmp_path):
     h.snapshot(wider.withColumn("goal", F.lit("x")), RUN2)
     got = {(r.name, r.budget): r.goal for r in h.versions().collect()}
     assert got[("A", 660)] is None and got[("A", 900)] == "x"
+
+
+def test_superseded_open_versions_can_be_dropped(spark, tmp_path):
+    h = History(spark, f"file://{tmp_path}/h", "id", "updated_time")
+    h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), RUN1)
+    changed = spark.createDataFrame(campaigns(A=(1, "A", "ACTIVE", 900, T1), E=None), SCHEMA)
+    for hours in range(3):
+        h.snapshot(changed, RUN2 + timedelta(hours=hours))
+    before = sorted(map(tuple, h.versions().collect()), key=str)
+    h.drop_superseded(keep=1)
+    assert sorted(map(tuple, h.versions().collect()), key=str) == before
+    left = sorted(p.parent.name for p in (tmp_path / "h").glob("run=*/is_open=1"))
+    assert left == ["run=4"] and h.runs() == [1, 2, 3, 4]
+    h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), RUN3)  # E comes back
+    assert h.versions().where("name = 'E' AND dbt_valid_to IS NULL").count() == 1

@@ -1,7 +1,7 @@
 """Table plans on literal edge rows, and the whole job end to end."""
 
 import json
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -266,6 +266,11 @@ def test_scan_reads_declared_columns_and_pushes_filters(spark, raw_files):
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(date_start), GreaterThanOrEqual(date_start" in plan
     assert "ReadSchema: struct<ad_id:string,date_start:date>" in plan
+    batch = pipeline.ga4_batch(RawTables(spark, settings))(date(2024, 1, 20)).select("event_id")
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_date,20240120)" in plan
+    schema = plan.split("ReadSchema:")[1]
+    assert "string_value" in schema and "double_value" not in schema and "items" not in schema
     with pytest.raises(ValueError, match="unknown source system"):
         settings.source_path("nowhere", "t")
 
