@@ -60,8 +60,15 @@ class RawTables:
         self.spark = spark
         self._settings = settings
         self._frames = frames or {}
+        self._read: dict[tuple[str, str], DataFrame] = {}
 
     def __call__(self, system: str, table: str) -> DataFrame:
+        key = (system, table)
+        if key not in self._read:
+            self._read[key] = self._make(system, table)
+        return self._read[key]
+
+    def _make(self, system: str, table: str) -> DataFrame:
         if table not in RAW_DDL[system]:
             raise KeyError(f"{system}.{table} is not declared")
         given = self._frames.get((system, table))

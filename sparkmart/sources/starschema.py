@@ -10,6 +10,7 @@ escapes, tags, refunds.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -590,12 +591,13 @@ _SPREAD = ("orders", "events", "lineitem")
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """All raw tables as projections of the star schema in ``sf_dir``."""
 
-    def frame(table: str, project: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
-        def make() -> DataFrame:
-            rows = star(spark, sf_dir, table)
-            return project(spread(rows) if table in _SPREAD else rows)
+    @cache
+    def rows(table: str) -> DataFrame:
+        df = star(spark, sf_dir, table)
+        return spread(df) if table in _SPREAD else df
 
-        return make
+    def frame(table: str, project: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: project(rows(table))
 
     return RawTables(
         spark, frames={key: frame(table, project) for key, (table, project) in PROJECTIONS.items()}
