@@ -7,17 +7,38 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, host_rules, shards
-from .work import table
+from . import bpe, decontaminate, host_rules, quality, shards, token_files, toxicity
+from .work import Work, reachable, table
 
 SHARDS = 16
 
 
 @dataclass(frozen=True)
 class LlmQuery:
-    run: Callable[[SparkSession, str], DataFrame]
+    query: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
 
+    def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        return self.query(reachable(spark), sf_dir)
+
+
+def tokenizer_path(name: str) -> str:
+    """The file of an installed public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(spark, docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = token_files.write_tokens(spark, docs, tokenizer_path("word_bpe_49k.json"), 2, Work(spark))
+    return token_files.read_documents(files)
+
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -32,6 +53,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(spark, table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(spark, docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 SQL_5 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -85,7 +115,11 @@ FROM f LEFT JOIN bad USING (source)
 """
 
 QUERIES: dict[str, LlmQuery] = {
+    "op1_quality_classifier": LlmQuery(op1_quality_classifier),
+    "op4_token_files": LlmQuery(op4_token_files),
     "op5_benchmark_decontamination": LlmQuery(op5_benchmark_decontamination, SQL_5),
     "op6_quality_rules": LlmQuery(op6_quality_rules, SQL_6),
     "op8_sharding": LlmQuery(op8_sharding),
+    "op9_toxicity": LlmQuery(op9_toxicity),
+    "op10_bpe": LlmQuery(op10_bpe),
 }

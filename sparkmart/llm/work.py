@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +46,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def plain(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that other columns of any name can't clash."""
     return docs.select(*[docs[c] for c in columns])
+
+
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let the Python workers of this machine import this package from where the driver did. On a
+    cluster install the package on the executors or pass it with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    found = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in found.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, found]))
+    return spark
