@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from . import spans
 from .labelled import held_out, sample, sigmoid
+from .work import Work
 
 #: Labelled rows of each class that are learned from at most.
 SAMPLE = 8_000
@@ -120,9 +121,9 @@ def fit_curve(points: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
     return float(beta[0] - slopes @ mean), float(slopes[0]), float(slopes[1])
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
+def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     """Half of the sample trains the dictionaries, the other half fits the curve."""
-    rows, weights = sample(docs, labels, "quality", {0: SAMPLE, 1: SAMPLE})
+    rows, weights = sample(Work(spark), docs, labels, "quality", {0: SAMPLE, 1: SAMPLE})
     first = F.xxhash64(F.lit("half"), "doc_id") % 2 == 0
     blocks = rows.where(first).select("label", "text").mapInArrow(_blocks, "label int, block binary")
     dictionaries = []

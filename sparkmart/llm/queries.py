@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, host_rules, quality, shards, token_files, toxicity
+from . import bpe, decontaminate, host_rules, neardup, quality, shards, substrings, token_files, toxicity
 from .work import Work, reachable, table
 
 SHARDS = 16
@@ -31,7 +31,11 @@ def tokenizer_path(name: str) -> str:
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality.score(spark, docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return quality.score(spark, docs, quality.learn(spark, docs, table(spark, sf_dir, "labels")))
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find_groups(spark, table(spark, sf_dir, "documents"))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,19 +53,42 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("host")
 
 
+def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed_bytes(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(spark, table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return toxicity.score(spark, docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(spark, docs, toxicity.learn(spark, docs, table(spark, sf_dir, "labels")))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+SQL_3 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, list_slice(w, i + 1, i + 5) AS s
+  FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)
+), e AS (SELECT a, b FROM link UNION SELECT b, a FROM link
+), reach(a, b) AS (SELECT DISTINCT a, a FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a
+), comp AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(comp.c, doc_id) AS component_id, doc_id = coalesce(comp.c, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""
+
 SQL_5 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -116,9 +143,11 @@ FROM f LEFT JOIN bad USING (source)
 
 QUERIES: dict[str, LlmQuery] = {
     "op1_quality_classifier": LlmQuery(op1_quality_classifier),
+    "op3_near_duplicates": LlmQuery(op3_near_duplicates, SQL_3),
     "op4_token_files": LlmQuery(op4_token_files),
     "op5_benchmark_decontamination": LlmQuery(op5_benchmark_decontamination, SQL_5),
     "op6_quality_rules": LlmQuery(op6_quality_rules, SQL_6),
+    "op7_repeated_substrings": LlmQuery(op7_repeated_substrings),
     "op8_sharding": LlmQuery(op8_sharding),
     "op9_toxicity": LlmQuery(op9_toxicity),
     "op10_bpe": LlmQuery(op10_bpe),

@@ -23,16 +23,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import spans
 from .labelled import held_out, sample, sigmoid
+from .work import Work
 
 #: Labelled rows of each class that are learned from at most.
-SAMPLE = {1: 3_000, 0: 6_000}
+SAMPLE = {1: 2_000, 0: 4_000}
 WINDOW, SIZES, BUCKET_BITS, DIMENSIONS = 24, (3, 4, 5, 6), 20, 4
-MIN_Z, MIN_DOCUMENTS, EPOCHS, RATE = 5.0, 4, 600, 0.1
+MIN_Z, MIN_DOCUMENTS, EPOCHS, RATE = 5.0, 4, 300, 0.2
 THRESHOLD = 0.7
 
 
@@ -107,18 +109,21 @@ class Model:
         return sigmoid(self.bias + np.maximum.reduceat(logit, windows[:-1]))
 
 
-def train(label: np.ndarray, weight: np.ndarray, doc: np.ndarray, window: np.ndarray, feature: np.ndarray, value: np.ndarray, features: int) -> tuple[float, np.ndarray]:
+def train(label: np.ndarray, weight: np.ndarray, doc: np.ndarray, bags: tuple, words: tuple, features: int) -> tuple[float, np.ndarray]:
     """Softmax weights and sequence vectors by gradient descent with adaptive steps.
 
-    doc: document of each window (those without features are window-less and count as logit bias);
-    window, feature, value: the sparse matrix whose product with the vectors is the windows' means.
+    doc: the document of each window. bags: window and word of each word in a window; words: word,
+    feature and share of each sequence of a word. Windows are means of words, words of sequences.
     Returns the bias and each feature's addition to the toxic logit.
     """
     rng = np.random.default_rng(1)
+    window, word = bags
+    of, feature, share = words
+    n_words = int(of.max()) + 1 if len(of) else 0
     vectors = rng.normal(0, 0.01, (features, DIMENSIONS))
     softmax = np.stack([-np.ones(DIMENSIONS), np.ones(DIMENSIONS)], axis=1) / 2 + rng.normal(0, 0.01, (DIMENSIONS, 2))
-    share = (weight * label).sum() / weight.sum()
-    bias = np.array([0.0, np.log(share / (1 - share))])
+    toxic = (weight * label).sum() / weight.sum()
+    bias = np.array([0.0, np.log(toxic / (1 - toxic))])
     parameters = [vectors, softmax, bias]
     means, squares = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     norm = weight.sum()
@@ -127,7 +132,8 @@ def train(label: np.ndarray, weight: np.ndarray, doc: np.ndarray, window: np.nda
         return np.stack([np.bincount(index, rows[:, j], n) for j in range(rows.shape[1])], axis=1)
 
     for epoch in range(1, EPOCHS + 1):
-        mean = gathered(window, vectors[feature] * value[:, None], len(doc))
+        meaning = gathered(of, vectors[feature] * share[:, None], n_words)
+        mean = gathered(window, meaning[word], len(doc)) / WINDOW
         logits = mean @ softmax + bias
         logit = logits[:, 1] - logits[:, 0]
         top = np.full(len(label), -np.inf)
@@ -135,11 +141,10 @@ def train(label: np.ndarray, weight: np.ndarray, doc: np.ndarray, window: np.nda
         soft = np.exp(logit - top[doc])
         soft /= np.bincount(doc, soft, len(label))[doc]
         total = np.bincount(doc, soft * logit, len(label))
-        p = sigmoid(total)
-        slope = ((p - label) * weight / norm)[doc] * soft
+        slope = ((sigmoid(total) - label) * weight / norm)[doc] * soft
         both = np.stack([-slope, slope], axis=1)
-        back = both @ softmax.T
-        gradients = [gathered(feature, back[window] * value[:, None], features), mean.T @ both, both.sum(0)]
+        back = gathered(word, (both @ softmax.T / WINDOW)[window], n_words)
+        gradients = [gathered(feature, back[of] * share[:, None], features), mean.T @ both, both.sum(0)]
         for p_, g, m, s in zip(parameters, gradients, means, squares):
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
@@ -147,8 +152,8 @@ def train(label: np.ndarray, weight: np.ndarray, doc: np.ndarray, window: np.nda
     return float(bias[1] - bias[0]), vectors @ (softmax[:, 1] - softmax[:, 0])
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    rows, _ = sample(docs, labels, "toxic", SAMPLE)
+def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
+    rows, weights = sample(Work(spark), docs, labels, "toxic", SAMPLE)
     rows = rows.select(F.col("label").cast("int").alias("label"), "text")
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     table = np.zeros(1 << BUCKET_BITS)
@@ -164,38 +169,46 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     place_of[kept] = np.arange(len(kept))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each document its label, and window, feature and value of its non-zero entries."""
+        """For each document its label; the window and the word (by hash) of its different words in
+        each window that hold a kept sequence; and word, feature and share of those sequences."""
         for batch in spans.sliced(batches, limit=spans.SLICE_BYTES // 4):
             text, marked, code, place, windows = different_words(batch.column("text"))
+            names = spans.range_hash(spans.prefix_sums(text), marked[:-1], marked[1:]).view(np.int64)
             word, bucket = sequences(text, marked)
-            sizes = np.bincount(word, minlength=len(marked) - 1)
-            at = place_of[bucket]
-            word, at = word[at >= 0], at[at >= 0]
+            sizes = np.bincount(word, minlength=len(names))
             order = np.argsort(word, kind="stable")
-            at, held = at[order], np.bincount(word, minlength=len(marked) - 1)
-            pairs = np.unique((place << 32) | code) if len(code) else np.zeros(0, np.int64)
-            window, code = pairs >> 32, pairs & 0xFFFFFFFF
+            word, at = word[order], place_of[bucket[order]]
+            word, at = word[at >= 0], at[at >= 0]
+            held = np.bincount(word, minlength=len(names))
             starts = np.cumsum(held) - held
-            entry = np.repeat(window, held[code])
-            feature = at[spans.ragged(starts[code], held[code])]
-            value = np.repeat(1 / (np.maximum(sizes[code], 1) * WINDOW), held[code])
-            doc = np.searchsorted(windows, entry, "right") - 1
-            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x)) for x in (entry - windows[doc], feature, value)]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), *lists], ["label", "window", "feature", "value"])
-
-    got = rows.mapInArrow(features, "label int, window array<long>, feature array<int>, value array<double>").toArrow()
+            some = held[code] > 0
+            pairs = np.unique((place[some] << 32) | code[some])
+            window, code = pairs >> 32, pairs & 0xFFFFFFFF
+            doc = np.searchsorted(windows, window, "right") - 1
+            own = np.unique((doc << 32) | code)  # the different words of each document
+            of, own = own >> 32, own & 0xFFFFFFFF
+            parts = held[own]
+            entry = spans.ragged(starts[own], parts)
+            cuts = [np.searchsorted(x, np.arange(batch.num_rows + 1)) for x in (doc, np.repeat(of, parts))]
+            values = ((0, window - windows[doc]), (0, names[code]), (1, np.repeat(names[own], parts)), (1, at[entry]), (1, np.repeat(1 / sizes[own], parts)))
+            lists = [pa.ListArray.from_arrays(pa.array(cuts[k], pa.int32()), pa.array(x)) for k, x in values]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *lists], ["label", "window", "word", "of", "feature", "share"])
+
+    kinds = "label int, window array<long>, word array<long>, of array<long>, feature array<int>, share array<double>"
+    got = rows.mapInArrow(features, kinds).toArrow()
     label = got["label"].to_numpy().astype(np.float64)
-    lists = {k: got[k].combine_chunks() for k in ("window", "feature", "value")}
-    sizes = np.diff(np.concatenate([c.offsets.to_numpy() for c in [lists["window"]]])) if len(label) else np.zeros(0, int)
-    flat = {k: v.flatten().to_numpy() for k, v in lists.items()}
+    flat = {k: pa.concat_arrays([c.flatten() for c in got[k].chunks]).to_numpy() for k in got.column_names[1:]}
+    sizes = pa.compute.list_value_length(got["window"]).to_numpy()
     owner = np.repeat(np.arange(len(label)), sizes)
-    # windows without features add nothing but the bias: one of them stands for all of a document
-    pairs, window = np.unique((owner.astype(np.int64) << 32) | flat["window"], return_inverse=True)
+    # windows without kept sequences are all the same: one of them stands for those of a document
+    pairs, window = np.unique((owner << 32) | flat["window"], return_inverse=True)
     doc = np.concatenate([pairs >> 32, np.arange(len(label))])
-    # both classes weigh the same: a missed toxic document costs more than its share of the corpus
-    weight = np.where(label == 1, 0.5 / (label == 1).sum(), 0.5 / (label == 0).sum())
-    bias, added = train(label, weight, doc, window, flat["feature"], flat["value"], max(1, len(kept)))
+    entries = np.unique(np.stack([flat["of"], flat["feature"].astype(np.int64), flat["share"].view(np.int64)]), axis=1)
+    names, of = np.unique(entries[0], return_inverse=True)
+    word = np.searchsorted(names, flat["word"])
+    # between the corpus's share of toxic documents and a half: missing one costs more than its share
+    weight = np.where(label == 1, np.sqrt(weights[1] / n[1]), np.sqrt(weights[0] / n[0]))
+    bias, added = train(label, weight, doc, (window, word), (of, entries[1], entries[2].view(np.float64)), max(1, len(kept)))
     table[kept] = added[: len(kept)]
     return Model(bias, table)
 
