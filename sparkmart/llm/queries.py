@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, host_rules, neardup, quality, shards, substrings, token_files, toxicity
+from . import bpe, decontaminate, host_rules, html_text, neardup, quality, shards, substrings, token_files, toxicity
 from .work import Work, reachable, table
 
 SHARDS = 16
@@ -34,6 +34,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(spark, docs, quality.learn(spark, docs, table(spark, sf_dir, "labels")))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark, table(spark, sf_dir, "pages"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find_groups(spark, table(spark, sf_dir, "documents"))
 
@@ -143,6 +147,7 @@ FROM f LEFT JOIN bad USING (source)
 
 QUERIES: dict[str, LlmQuery] = {
     "op1_quality_classifier": LlmQuery(op1_quality_classifier),
+    "op2_html_text": LlmQuery(op2_html_text),
     "op3_near_duplicates": LlmQuery(op3_near_duplicates, SQL_3),
     "op4_token_files": LlmQuery(op4_token_files),
     "op5_benchmark_decontamination": LlmQuery(op5_benchmark_decontamination, SQL_5),
