@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import spans
-from .work import work_dir
+from .work import Work, work_dir
 
 #: Fixed value: how the tokenizer splits a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -321,11 +321,22 @@ class Encoder:
         return ids, before[np.concatenate([[0], np.cumsum(sizes)])]
 
 
-def frequent_words(docs: DataFrame, n: int) -> list[str]:
-    """The most frequent letter words of all texts, with the space before them."""
+def frequent_words(work: Work, docs: DataFrame, n: int) -> list[str]:
+    """The most frequent letter words of all texts, with the space before them: at most n.
+
+    Words are counted over all texts; sixteenths of powers of two of the counts then say from which
+    count on there are no more than n words, so the driver gets those only.
+    """
     words = F.explode(F.regexp_extract_all(docs["text"], F.lit(r" ?\p{L}+"), F.lit(0))).alias("word")
-    counts = docs.select(words).groupBy("word").count()
-    return [r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(n).collect()]
+    counts = docs.select(words).groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    counts = work.stored(counts.withColumn("level", F.floor(16 * F.log2("n"))), "words")
+    least, total = None, 0
+    for r in sorted(counts.groupBy("level").agg(F.count("*").alias("words")).collect(), reverse=True):
+        total += r["words"]
+        if total > n:
+            break
+        least = r["level"]
+    return [] if least is None else [r["word"] for r in counts.where(F.col("level") >= least).collect()]
 
 
 def build_lexicon(words: list[str], vocab: Vocabulary) -> bytes:
@@ -358,7 +369,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, vocabulary_path: str,
     with open(vocabulary_path, encoding="utf-8") as file:
         text = file.read()
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    name = _publish(spark, build_lexicon(frequent_words(docs, lexicon_words), Vocabulary(text)))
+    name = _publish(spark, build_lexicon(frequent_words(Work(spark), docs, lexicon_words), Vocabulary(text)))
     shared = spark.sparkContext.broadcast(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,7 @@ result. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -38,7 +39,9 @@ MAGIC, BLOCK_IDS = 0x314B4F54, 1 << 16
 #: A file is closed once it holds so many ids.
 FILE_IDS = 1 << 20
 #: Words whose ids a worker remembers at most (about 200 bytes each).
-MAX_WORDS = 1_000_000
+MAX_WORDS = 600_000
+#: ASCII characters that are neither space nor letter nor digit.
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 FILES = "part int, start long, n_ids long, n_docs long, payload binary"
 
@@ -114,10 +117,11 @@ class TokenFile:
 class WordEncoder:
     """Ids of texts by a tokenizer whose words don't see across white space: it drops white space
     and then splits (as word_bpe_49k does). Equal words are encoded once; ASCII capitals are the
-    same word, and a final full stop or comma after a letter or digit is a word of its own, since
+    same word, and the punctuation after a last ASCII letter or digit is a word of its own, since
     the tokenizer's pattern splits there and its normalizer writes lower case."""
 
     def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks have the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -125,34 +129,34 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.words: dict[bytes, bytes] = {}
 
-    def _learn(self, words: set[bytes]) -> None:
-        known = self.words
-        plain: dict[bytes, tuple[bytes, bytes]] = {}
-        for w in words:
-            core, tail = (w, b"") if b"<|" in w else (w.lower(), b"")
-            if len(core) > 1 and core[-1] in b".," and core[-2:-1].isalnum() and core[:1].isalnum():
-                core, tail = core[:-1], core[-1:]
-            plain[w] = core, tail
-        new = list({x for parts in plain.values() for x in parts if x and x not in known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
+    def _learn(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 5_000):
+            part = words[at : at + 5_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                known[w] = array("I", e.ids).tobytes()
-        known[b""] = b""
-        for w, (core, tail) in plain.items():
-            known[w] = known[core] + known[tail]
+                self.words[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [t.split() for t in texts]  # at ASCII white space
-        new = set().union(*split).difference(self.words)
-        if len(self.words) + len(new) > MAX_WORDS:
-            self.words.clear()
-            new = set().union(*split)
-        if new:
-            self._learn(new)
-        find = self.words.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        for w in set().union(*split):
+            core = w.rstrip(MARKS)
+            if b"<|" in w:  # an added token is case-sensitive
+                parts[w] = w, b""
+            elif core and core[-1:].isalnum():
+                parts[w] = core.lower(), w[len(core) :]
+            else:
+                parts[w] = w.lower(), b""
+        known = self.words
+        new = {x for pair in parts.values() for x in pair if x not in known}
+        if len(known) + len(new) > MAX_WORDS:
+            known.clear()
+            new = {x for pair in parts.values() for x in pair}
+        new.discard(b"")
+        self._learn(list(new))
+        known[b""] = b""
+        ids = {w: known[core] + known[tail] for w, (core, tail) in parts.items()}.__getitem__
+        return [b"".join(map(ids, words)) for words in split]
 
 
 _encoders: dict[str, WordEncoder] = {}
