@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -10,6 +10,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
+from .sources.files import Files
+
 # One folder per raw system; a run may point any of them elsewhere.
 SYSTEMS = (
     "shopify",
@@ -22,7 +24,7 @@ SYSTEMS = (
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,7 @@ class Settings:
     ga4_lookback_days: int = 3
     spend_tolerance: float = 0.01
     full_refresh: bool = False
+    run_checks: bool = True
     run_time: datetime = field(default_factory=_now)
 
     def source_path(self, system: str, table: str) -> str:
@@ -50,13 +53,18 @@ class Settings:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder on storage every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting falls back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Without that setting the
+    folder lies in the warehouse, which the executors share as well. What it
+    holds is deleted when the driver ends.
     """
     key = "spark.checkpoint.dir"
     root = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the executors")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{root.rstrip('/')}/sparkmart-{uuid.uuid4().hex}"
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    path = f"{root.rstrip('/')}/sparkmart-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        Files(spark).delete(path)

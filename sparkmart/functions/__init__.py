@@ -2,7 +2,7 @@
 
 from .arrays import param_value, pivot_params
 from .json import first, parse_array, parse_object, parse_objects, sum_items
-from .money import from_cents, from_micros, money, money_from_double
+from .money import from_cents, from_micros, money, money_from_double, whole
 from .text import (
     blank_to_null,
     campaign_status,
@@ -21,6 +21,7 @@ from .times import (
     day_to_text,
     from_epoch_micros,
     from_epoch_millis,
+    instant,
     midnights_between,
 )
 from .urls import (

@@ -1,7 +1,9 @@
 """JSON text columns: parse once per column, then address fields.
 
-Parsing is FAILFAST, so malformed text stops the run instead of turning into
-nulls. JSON ``null`` is a valid document whose fields are all null.
+Parsing is FAILFAST, so malformed text, empty text included, stops the run
+instead of turning into nulls. A valid document of another kind is no error: a
+field of anything but an object is null, and a value that isn't a list is read
+as a list of it, an object as the list of its values.
 """
 
 from __future__ import annotations
@@ -14,23 +16,39 @@ from pyspark.sql import functions as F
 _STRICT = {"mode": "FAILFAST"}
 
 
-def _is_json_null(text: Column) -> Column:
-    return F.trim(text) == "null"
+def _starts(text: Column, mark: str) -> Column:
+    return F.ltrim(F.translate(text, "\t\n\r", "   ")).startswith(mark)
+
+
+def _kind(text: Column) -> Column:
+    """The document's type; malformed text stops the run. Only asked for the odd document."""
+    return F.schema_of_variant(F.parse_json(text))
 
 
 def parse_object(text: Column, ddl: str) -> Column:
     """Parse an object into a struct. ``ddl`` lists the fields to keep."""
-    return F.when(~_is_json_null(text), F.from_json(text, f"struct<{ddl}>", _STRICT))
+    # null, but only known once the document has been read
+    other = F.nullif(F.substring(_kind(text), 1, 0), F.lit(""))
+    document = F.when(_starts(text, "{"), text).otherwise(other)
+    return F.from_json(document, f"struct<{ddl}>", _STRICT)
 
 
 def parse_array(text: Column, element: str) -> Column:
     """Parse an array; ``element`` is the DDL type of one element.
 
-    A JSON ``null`` document is read as one null element.
+    An object gives its values, any other document (JSON ``null`` too) one null
+    element.
     """
     kind = f"array<{element}>"
-    return F.when(_is_json_null(text), F.array(F.lit(None)).cast(kind)).otherwise(
-        F.from_json(text, kind, _STRICT)
+    values = F.map_values(F.from_json(text, "map<string,string>", _STRICT))
+    if element != "string":
+        values = F.transform(
+            values, lambda v: F.when(_starts(v, "{"), F.from_json(v, element, _STRICT))
+        )
+    return (
+        F.when(_starts(text, "["), F.from_json(text, kind, _STRICT))
+        .when(_starts(text, "{"), values)
+        .when(_kind(text).isNotNull(), F.array(F.lit(None)).cast(kind))
     )
 
 

@@ -28,3 +28,8 @@ def from_cents(cents: Column) -> Column:
 def from_micros(micros: Column) -> Column:
     """Micros as a double: decimal division would round differently later."""
     return micros.cast("double") / F.lit(1000000.0)
+
+
+def whole(text: Column, kind: str) -> Column:
+    """A whole number from text, which may carry decimals: they are rounded."""
+    return F.round(text.cast("decimal(38,6)")).cast(kind)

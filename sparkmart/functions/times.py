@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_TEXT = "yyyyMMdd"
 
 
+def instant(moment: datetime) -> Column:
+    """A moment as a literal. Without a zone it is UTC, whatever zone the driver's system has."""
+    return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc))
+
+
 def from_epoch_micros(micros: Column) -> Column:
     return F.timestamp_micros(micros)
 

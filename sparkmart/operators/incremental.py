@@ -22,6 +22,9 @@ from pyspark.sql.types import StructField, StructType
 
 from ..sources.files import Files
 
+# Fixed value: the folder of rows without a day.
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 Batch = Callable[[date | None], DataFrame]
 
 
@@ -33,9 +36,10 @@ def since(day, first_day: date | None):
 class DayTable:
     """A day-partitioned table on shared storage.
 
-    A load first writes its result to a staging folder and then leaves a note
-    naming it. Only then are the day partitions overwritten. A run that finds the
-    note repeats the overwrite, so a crash in between loses nothing.
+    A load first writes its result to a staging folder beside the table and then
+    leaves a note naming it. Only then are the day partitions overwritten. A run
+    that finds the note repeats the overwrite, so a crash in between loses
+    nothing; staging folders without a note are dropped.
     """
 
     def __init__(
@@ -45,8 +49,11 @@ class DayTable:
         self.path = path.rstrip("/")
         self.day = day
         self.keys = list(keys) if keys else None
+        if self.keys and day not in self.keys:
+            raise ValueError(f"keys must hold the day column {day}: a row that moves to another day would stay in both")
         self._files = Files(spark)
-        self._note = f"{self.path}/_pending"
+        self._load = f"{self.path}.load"
+        self._note = f"{self._load}/pending"
         self._schema_file = f"{self.path}/_columns"
 
     def days(self) -> list[date]:
@@ -70,6 +77,8 @@ class DayTable:
         table counts as a first run.
         """
         self._finish_pending()
+        for name in self._files.folders(self._load):  # of runs that broke off before their note
+            self._files.delete(f"{self._load}/{name}")
         stored = self.days()
         if full_refresh or not stored:
             self._rebuild(batch(None))
@@ -79,12 +88,13 @@ class DayTable:
         return first_day
 
     def _rebuild(self, rows: DataFrame) -> None:
-        self._write(rows, self.path, "static")
-        self._save_schema(rows.schema)
+        staging = f"{self._load}/staging-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{staging}/batch")
+        self._commit(staging, rows.schema, every_day=True)
 
     def _reload(self, rows: DataFrame, first_day: date) -> None:
         schema = self._merged(self.schema(), rows.schema)
-        staging = f"{self.path}/_staging-{uuid.uuid4().hex}"
+        staging = f"{self._load}/staging-{uuid.uuid4().hex}"
         rows.write.parquet(f"{staging}/batch")
         if self.keys:
             # Cut here: the batch is read back instead of being computed twice.
@@ -95,34 +105,43 @@ class DayTable:
                 .join(fresh.select(*self.keys).distinct(), self.keys, "left_anti")
             )
             kept.write.parquet(f"{staging}/kept")
-        self._save_schema(schema)
-        self._files.write_text(self._note, staging)
+        self._commit(staging, schema, every_day=False)
+
+    def _commit(self, staging: str, schema: StructType, every_day: bool) -> None:
+        nullable = StructType([StructField(f.name, f.dataType, True) for f in schema])
+        note = {"staging": staging, "schema": nullable.json(), "every_day": every_day}
+        self._files.write_text(self._note, json.dumps(note))
         self._finish_pending()
 
     def _finish_pending(self) -> None:
-        staging = self._files.read_text(self._note)
-        if staging is None:
+        """Carry out what the note says; every step can be repeated."""
+        text = self._files.read_text(self._note)
+        if text is None:
             return
+        note = json.loads(text)
+        staging, schema = note["staging"], StructType.fromJson(json.loads(note["schema"]))
         parts = [f"{staging}/{name}" for name in self._files.folders(staging)]
-        rows = self.spark.read.schema(self.schema()).parquet(*parts)
-        self._write(rows, self.path, "dynamic")
+        rows = self.spark.read.schema(schema).parquet(*parts)
+        self._write(rows)
+        if note["every_day"]:
+            days = {str(r[0] or _NO_DAY) for r in rows.select(self.day).distinct().collect()}
+            for name in self._files.folders(self.path):
+                if name.startswith(f"{self.day}=") and name.partition("=")[2] not in days:
+                    self._files.delete(f"{self.path}/{name}")
+        self._files.write_text(self._schema_file, note["schema"])
         self._files.delete(self._note)
         self._files.delete(staging)
 
-    def _write(self, rows: DataFrame, path: str, overwrite: str) -> None:
+    def _write(self, rows: DataFrame) -> None:
         # Rebalancing merges the slivers of a small day and splits a large one.
         (
             rows.hint("rebalance", F.col(self.day))
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", overwrite)
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.day)
-            .parquet(path)
+            .parquet(self.path)
         )
 
-    def _save_schema(self, schema: StructType) -> None:
-        nullable = StructType([StructField(f.name, f.dataType, True) for f in schema])
-        self._files.write_text(self._schema_file, nullable.json())
-
     @staticmethod
     def _merged(stored: StructType, incoming: StructType) -> StructType:
         known = {f.name: f for f in stored}

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
+from ..functions import instant
 from ..sources.files import Files
 
 # Columns added to the source columns, and the flag's texts.
@@ -21,6 +22,7 @@ SCD_ID, UPDATED_AT = "dbt_scd_id", "dbt_updated_at"
 VALID_FROM, VALID_TO, DELETED = "dbt_valid_from", "dbt_valid_to", "dbt_is_deleted"
 YES, NO = "True", "False"
 _ADDED = (SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO, DELETED)
+_EMPTY = f"{SCD_ID} string, {UPDATED_AT} timestamp, {VALID_FROM} timestamp, {VALID_TO} timestamp, {DELETED} string"
 
 
 def _version(
@@ -48,9 +50,23 @@ def _stored(columns: list[str], end: Column) -> Column:
     )
 
 
+def checked(source: DataFrame, key: str) -> DataFrame:
+    """The source; a null or repeated key stops the run that reads it.
+
+    Either would open one more version with every run. Counting per key uses the
+    shuffle that the comparison with the open versions needs anyway.
+    """
+    rows = F.count(F.lit(1)).over(Window.partitionBy(key))
+    bad = F.col(key).isNull() | (F.col("_rows") > 1)
+    message = F.concat(F.lit(f"history needs one row per {key}, found several or none for: "),
+                       F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    stop = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return source.withColumn("_rows", rows).where(stop).drop("_rows")
+
+
 def first_versions(source: DataFrame, key: str, updated_at: str) -> DataFrame:
     """History after the first run: one open version per row."""
-    row = source.select(F.struct("*").alias("new"))
+    row = checked(source, key).select(F.struct("*").alias("new"))
     at = F.col(f"new.{updated_at}")
     none = F.lit(None).cast("timestamp")
     return row.select(_version("new", source.columns, key, at, at, none, NO).alias("v")).select("v.*")
@@ -76,10 +92,10 @@ def next_versions(
     old_rows = open_versions.select(
         F.col(key).alias("_old_key"), F.struct(*padded(open_versions), *_ADDED).alias("old")
     )
-    new_rows = source.select(F.col(key).alias("_new_key"), F.struct(*padded(source)).alias("new"))
+    new_rows = checked(source, key).select(F.col(key).alias("_new_key"), F.struct(*padded(source)).alias("new"))
     pairs = old_rows.join(new_rows, F.col("_old_key") == F.col("_new_key"), "full")
     none = F.lit(None).cast("timestamp")
-    now = F.lit(run_time).cast("timestamp")
+    now = instant(run_time)
     at = F.col(f"new.{updated_at}")
     started = F.col(f"old.{VALID_FROM}")
     was_deleted = F.col(f"old.{DELETED}") == YES
@@ -158,8 +174,10 @@ class History:
             self._files.delete(f"{self.path}/run={run}/{self._OPEN}=1")
 
     def versions(self) -> DataFrame:
-        """Every version, open and closed."""
+        """Every version, open and closed; none before the first run."""
         runs = self.runs()
+        if not runs:
+            return self.spark.createDataFrame([], _EMPTY)
         rows = self._read(runs)
         kept = (F.col(self._OPEN) == 0) | (F.col("run") == runs[-1])
         return rows.where(kept).drop("run", self._OPEN)
@@ -167,7 +185,7 @@ class History:
 
 def as_of(versions: DataFrame, moment: datetime) -> DataFrame:
     """Versions valid at a moment, without the records of deleted rows."""
-    at = F.lit(moment).cast("timestamp")
+    at = instant(moment)
     valid = (F.col(VALID_FROM) <= at) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > at))
     return versions.where(valid & (F.coalesce(F.col(DELETED), F.lit(NO)) != YES))
 
@@ -178,6 +196,11 @@ def changed_only(versions: DataFrame, key: str) -> DataFrame:
     return versions.join(several, key, "left_semi")
 
 
+def in_order(versions: DataFrame, key: str) -> DataFrame:
+    """Versions by key and start, nulls last. Sorting is by range, not in one task."""
+    return versions.orderBy(F.col(key).asc_nulls_last(), F.col(VALID_FROM).asc_nulls_last())
+
+
 def recorded_and_source(versions: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame:
     """Open versions and source rows side by side, labelled, to spot missed edits."""
     recorded = versions.where(F.col(VALID_TO).isNull())

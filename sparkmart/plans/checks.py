@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators.conform import union_all
 from ..operators.enrich import unmatched
-from ..operators.quality import Checks
+from ..operators.quality import Checks, report
 from ..sources.scan import RawTables
 
 # Accepted values of the conformed columns.
@@ -55,7 +57,7 @@ RAW_SUITE: dict[str, Checks] = {
     "linkedin_ads.campaign_groups": Checks(not_null=["id"], unique=["id"]),
     "linkedin_ads.campaigns": Checks(not_null=["id"], unique=["id"]),
     "tiktok_marketing.campaigns": Checks(not_null=["campaign_id"], unique=["campaign_id"]),
-    "tiktok_marketing.campaigns_reports_daily": Checks(not_null=["campaign_id"]),
+    "tiktok_marketing.campaigns_reports_daily": Checks(not_null=["campaign_id", "stat_time_day"]),
 }
 
 # The checks of the seeds, staging tables and marts.
@@ -321,3 +323,51 @@ def unreconciled_spend(fact: DataFrame, raw: RawTables, tolerance: float = 0.01)
         .where(F.abs(gap) > F.lit(tolerance))
         .select("platform", "source_spend", "fact_spend")
     )
+
+
+class ChecksFailed(Exception):
+    """The failed checks of a run, all of them: (table, check, column, failures)."""
+
+    def __init__(self, failures: list[tuple[str, str, str, int]]):
+        super().__init__("; ".join(f"{t}: {check} of {column} failed {n} times" for t, check, column, n in failures))
+        self.failures = failures
+
+
+def stop_on(failures: DataFrame) -> None:
+    """Raise with every check that has failures. A report has one row per check."""
+    found = failures.where("failures > 0").collect()
+    if found:
+        raise ChecksFailed([tuple(r) for r in found])
+
+
+def check_raw(raw: RawTables, suite: Mapping[str, Checks] | None = None) -> None:
+    """Stop on raw tables that can't be loaded safely."""
+    suite = RAW_SUITE if suite is None else suite
+    stop_on(report({name: raw(*name.split(".")) for name in suite}, suite))
+
+
+def check_tables(
+    tables: Mapping[str, DataFrame],
+    raw: RawTables,
+    tolerance: float,
+    suite: Mapping[str, Checks] | None = None,
+) -> None:
+    """Stop on the checks of the tables, unmapped UTM pairs and spend that doesn't reconcile."""
+    suite = SUITE if suite is None else suite
+    pairs = unmapped_utm_pairs(
+        tables["shopify_orders"], tables["shopify_customer_journeys"], tables["channel_mapping"]
+    )
+    spend = unreconciled_spend(tables["fct_campaign_performance_daily"], raw, tolerance)
+    across = [
+        df.agg(F.count("*").alias("failures")).select(
+            F.lit(table).alias("table_name"),
+            F.lit(check).alias("check_name"),
+            F.lit(column).alias("column_name"),
+            "failures",
+        )
+        for table, check, column, df in (
+            ("channel_mapping", "all_utm_pairs_mapped", "utm_source, utm_medium", pairs),
+            ("fct_campaign_performance_daily", "spend_reconciles", "spend", spend),
+        )
+    ]
+    stop_on(union_all([report(tables, suite), *across]))

@@ -59,17 +59,19 @@ def orders_enriched(
             "return_reasons"
         ),
     )
-    # Distinct pairs first: a line refunded many times meets the line table once.
+    # Distinct pairs first: a line refunded many times meets the line table once, and refunds
+    # without a line, which count nothing, don't meet in one task.
     refunded_counts = (
         left_enrich(
-            refund_lines.select("order_id", "order_line_id").distinct(),
+            refund_lines.select("order_id", "order_line_id").where("order_line_id is not null").distinct(),
             (order_lines if line_products is None else line_products).select(*LINE_PRODUCTS),
             ["order_line_id"],
         )
         .groupBy("order_id")
         .agg(
-            F.countDistinct("order_line_id").alias("refunded_line_count"),
-            F.countDistinct("product_id").alias("refunded_product_count"),
+            # Sets of one order's refunded lines: two distinct counts would double every row.
+            F.size(F.collect_set("order_line_id")).cast("bigint").alias("refunded_line_count"),
+            F.size(F.collect_set("product_id")).cast("bigint").alias("refunded_product_count"),
         )
     )
     joined = orders

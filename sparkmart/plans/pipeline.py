@@ -12,9 +12,10 @@ from ..config import Settings
 from ..functions import day_to_text
 from ..operators.incremental import DayTable, since
 from ..operators.scd2 import History
+from ..sources.files import Files
 from ..sources.scan import RawTables, seed
 from ..sources.schemas import SEED_DDL
-from . import ads, ga4, intermediate, marts, shopify
+from . import ads, checks, ga4, intermediate, marts, shopify
 
 # table -> (raw system, raw table, plan)
 STAGING: dict[str, tuple[str, str, Callable[[DataFrame], DataFrame]]] = {
@@ -193,18 +194,30 @@ def ad_stats_batch(raw: RawTables) -> Callable[[date | None], DataFrame]:
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace a table in full and read it back."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Replace a table in full and read it back.
+
+    The new rows are complete before the old ones go, so a run that fails leaves
+    the old table; one that is lost between the two steps is finished by the next.
+    """
+    files = Files(df.sparkSession)
+    files.recover(path)
+    new = f"{path}.new"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(new)
+    files.swap(new, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run(spark: SparkSession, settings: Settings) -> Tables:
-    """Load the incremental tables, record the history, write the marts.
+    """Check the raw tables, load the incremental ones, record the history, write
+    the marts and check all tables. A failed check stops the run (``ChecksFailed``);
+    what was loaded and written stays.
 
     Order lines are written too: two branches of the enriched orders and several
     checks read them, and parsing the JSON once is cheaper than each time.
     """
     raw = RawTables(spark, settings)
+    if settings.run_checks:
+        checks.check_raw(raw)
 
     events = DayTable(spark, settings.table_path("staging", "ga4_events"), "event_date")
     events.load(ga4_batch(raw), settings.ga4_lookback_days, settings.full_refresh)
@@ -221,6 +234,7 @@ def run(spark: SparkSession, settings: Settings) -> Tables:
         spark, settings.table_path("snapshots", "meta_campaigns"), "id", "updated_time"
     )
     history.snapshot(raw("facebook_marketing", "campaigns"), settings.run_time)
+    history.drop_superseded()
 
     tables = Tables(
         raw,
@@ -233,4 +247,6 @@ def run(spark: SparkSession, settings: Settings) -> Tables:
     tables.write("shopify_order_lines", settings.table_path("staging", "shopify_order_lines"))
     for name in ("dim_campaigns", "fct_campaign_performance_daily"):
         tables.write(name, settings.table_path("marts_marketing", name))
+    if settings.run_checks:
+        checks.check_tables(tables, raw, settings.spend_tolerance)
     return tables

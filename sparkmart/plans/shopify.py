@@ -177,17 +177,17 @@ def _line_columns() -> dict[str, Callable[[], Column]]:
         return fn.sum_items(text(field), lambda x: fn.money(x[key]), "decimal(38,2)")
 
     return {
-        "order_line_id": lambda: text("id").cast("bigint"),
+        "order_line_id": lambda: fn.whole(text("id"), "bigint"),
         "order_id": lambda: F.col("order_id"),
-        "product_id": lambda: text("product_id").cast("bigint"),
-        "variant_id": lambda: text("variant_id").cast("bigint"),
+        "product_id": lambda: fn.whole(text("product_id"), "bigint"),
+        "variant_id": lambda: fn.whole(text("variant_id"), "bigint"),
         "sku": lambda: text("sku"),
         "product_title": lambda: text("title"),
         "variant_title": lambda: text("variant_title"),
         "vendor": lambda: text("vendor"),
-        "quantity": lambda: text("quantity").cast("int"),
+        "quantity": lambda: fn.whole(text("quantity"), "int"),
         "unit_price": lambda: fn.money(text("price")),
-        "gross_amount": lambda: fn.money(text("price")) * text("quantity").cast("int"),
+        "gross_amount": lambda: fn.money(text("price")) * fn.whole(text("quantity"), "int"),
         "discount_amount": lambda: amounts("discount_allocations", "amount"),
         "tax_amount": lambda: amounts("tax_lines", "price"),
         "is_gift_card": lambda: text("gift_card").cast("boolean"),
@@ -235,7 +235,7 @@ def order_refunds(raw: DataFrame) -> DataFrame:
         c("note").alias("refund_note"),
         fn.tidy(fn.strip_prefix(c("note"), "Return")).alias("return_reason"),
         c("restock").alias("is_restocked"),
-        fn.sum_items(c("_lines"), lambda x: x["quantity"].cast("int"), "bigint").alias(
+        fn.sum_items(c("_lines"), lambda x: fn.whole(x["quantity"], "int"), "bigint").alias(
             "refunded_quantity"
         ),
         fn.sum_items(c("_lines"), lambda x: fn.money(x["subtotal"]), "decimal(38,2)").alias(
@@ -265,15 +265,15 @@ def order_refund_lines(raw_refunds: DataFrame) -> DataFrame:
         c("created_at").alias("refunded_at"),
         F.explode(fn.parse_objects(c("refund_line_items"), _REFUND_LINE)).alias("line"),
     ).select(
-        c("line.id").cast("bigint").alias("refund_line_id"),
+        fn.whole(c("line.id"), "bigint").alias("refund_line_id"),
         "refund_id",
         "order_id",
-        c("line.line_item_id").cast("bigint").alias("order_line_id"),
-        c("line.quantity").cast("int").alias("quantity"),
+        fn.whole(c("line.line_item_id"), "bigint").alias("order_line_id"),
+        fn.whole(c("line.quantity"), "int").alias("quantity"),
         fn.money(c("line.subtotal")).alias("subtotal_amount"),
         fn.money(c("line.total_tax")).alias("tax_amount"),
         c("line.restock_type").alias("restock_type"),
-        c("line.location_id").cast("bigint").alias("location_id"),
+        fn.whole(c("line.location_id"), "bigint").alias("location_id"),
         "refunded_at",
     )
 
@@ -390,9 +390,9 @@ def customer_journeys(raw: DataFrame) -> DataFrame:
     return parsed.select(
         "order_id",
         F.col("created_at").alias("order_created_at"),
-        F.col("journey.customerOrderIndex").cast("int").alias("customer_order_index"),
-        F.col("journey.daysToConversion").cast("int").alias("days_to_conversion"),
-        F.col("journey.momentsCount").cast("int").alias("moments_count"),
+        fn.whole(F.col("journey.customerOrderIndex"), "int").alias("customer_order_index"),
+        fn.whole(F.col("journey.daysToConversion"), "int").alias("days_to_conversion"),
+        fn.whole(F.col("journey.momentsCount"), "int").alias("moments_count"),
         F.col("journey.firstVisit.occurredAt").isNotNull().alias("has_journey"),
         *_visit("first"),
         *_visit("last"),

@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import shared_dir
+from .. import functions as fn
+from ..config import Settings, shared_dir
 from ..operators.incremental import DayTable, since
-from ..operators.scd2 import History, as_of, changed_only, recorded_and_source
-from ..sources.starschema import star
+from ..operators.scd2 import History, as_of, changed_only, in_order, recorded_and_source
+from ..plans import pipeline
+from ..sources.scan import RawTables
+from ..sources.starschema import raw_tables, star
 from .present import Query, day, query, ts
 
 FIRST_LOAD_TO = date(2024, 1, 20)
@@ -79,7 +82,7 @@ def source_states(orders: DataFrame) -> list[DataFrame]:
         c("o_totalprice").alias("budget"),
         c("o_orderdate").cast("timestamp").alias("updated_time"),
     )
-    second, third = F.lit(SECOND).cast("timestamp"), F.lit(THIRD).cast("timestamp")
+    second, third = fn.instant(SECOND), fn.instant(THIRD)
 
     def edited(df: DataFrame, changes: list[int], at, **values) -> DataFrame:
         hit = c("change").isin(changes)
@@ -179,7 +182,59 @@ def _inspected(spark, sf):
     return recorded_and_source(versions, source, ["id", "change", "budget"])
 
 
+def _refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """A load of all days, then a full refresh from a source that has lost most of them."""
+    source = star(spark, sf, "events").select("event_id", F.col("ts").cast("date").alias("event_date"), "event_type")
+    table = DayTable(spark, shared_dir(spark), "event_date")
+    table.load(lambda first_day: source, LOOKBACK)
+    late = source.where(F.col("event_date") > F.lit(FIRST_LOAD_TO)).withColumn("source", F.lit("refresh"))
+    table.load(lambda first_day: late, LOOKBACK, full_refresh=True)
+    return table.read()
+
+
+def _ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions in order, with their place: rows without an end come last within a key."""
+    versions = in_order(recorded(spark, sf)[0], "id").drop(*_INTERNAL)
+    place = Window.partitionBy("id").orderBy(F.col("dbt_valid_to").asc_nulls_last())
+    return versions.select("id", "dbt_valid_from", F.row_number().over(place).cast("bigint").alias("place"))
+
+
+def _scanned(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw files read by declared schema, one system from another folder, through a SQL view."""
+    root = shared_dir(spark)
+    settings = Settings(root, root, schema_overrides={"facebook_marketing": "sandbox"})
+    whole = raw_tables(spark, sf)
+    insights, campaigns = whole("facebook_marketing", "ads_insights"), whole("tiktok_marketing", "campaigns")
+    insights.drop("reach").write.parquet(f"{root}/sandbox/ads_insights")
+    campaigns.write.parquet(f"{root}/tiktok_marketing/campaigns")
+    raw = RawTables(spark, settings)
+    read = pipeline.Tables(raw, {"scanned_insights": raw("facebook_marketing", "ads_insights"),
+                                 "scanned_campaigns": raw("tiktok_marketing", "campaigns")})
+    pipeline.register_views({n: read[n] for n in ("scanned_insights", "scanned_campaigns")})
+    return spark.sql("""
+        SELECT 'insights' AS scanned, count(*) AS all_rows, count(reach) AS reaches, count(DISTINCT date_start) AS days
+        FROM scanned_insights
+        UNION ALL SELECT 'campaigns', count(*), 0, count(DISTINCT cast(create_time AS date)) FROM scanned_campaigns""")
+
+
 QUERIES: dict[str, Query] = {
+    "full_refresh": query(
+        _refreshed,
+        f"""SELECT event_id, {day("ts")} AS event_date, event_type, 'refresh' AS source
+            FROM events WHERE cast(ts AS date) > DATE '{FIRST_LOAD_TO}'""",
+    ),
+    "scd2_ordered": query(
+        _ordered,
+        f"""{HISTORY_BASE} SELECT id, dbt_valid_from,
+                row_number() OVER (PARTITION BY id ORDER BY dbt_valid_to NULLS LAST) AS place
+            FROM ({HISTORY_SHOWN})""",
+    ),
+    "declared_scan": query(
+        _scanned,
+        """SELECT 'insights' AS scanned, count(*) AS all_rows, 0::bigint AS reaches,
+                  count(DISTINCT cast(ts AS date)) AS days FROM events
+           UNION ALL SELECT 'campaigns', count(*), 0, least(count(*), 1) FROM customer""",
+    ),
     "incremental_replace_days": query(
         lambda spark, sf: _daily(spark, sf, None),
         _daily_sql("false"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import functions as fn
@@ -11,7 +12,7 @@ from ..operators.incremental import since
 from ..operators.latest import latest_per_key
 from ..operators.enrich import left_enrich, unmatched
 from ..plans import intermediate
-from ..sources.starschema import spread, star
+from ..sources.starschema import star
 from .present import Query, day, query, ts
 
 
@@ -28,7 +29,7 @@ def orders_enriched_lineitem(spark, sf):
         (c("o_orderstatus") == "P").alias("is_cancelled"),
         (c("o_orderpriority") == "4-NOT SPECIFIED").alias("is_wholesale"),
     )
-    items = spread(star(spark, sf, "lineitem"))
+    items = star(spark, sf, "lineitem")
     line_id = (c("l_orderkey") * 10 + c("l_linenumber")).alias("order_line_id")
     lines = items.select(
         c("l_orderkey").alias("order_id"),
@@ -105,9 +106,18 @@ ORDERS_ENRICHED_LINEITEM = f"""
 """
 
 
+def _ad_url() -> Column:
+    """The page's URL as an ad would tag it: an id, and a value with good and broken escapes."""
+    c = F.col
+    tagged = F.concat(c("url"), F.when(F.contains(c("url"), F.lit("?")), "&").otherwise("?"))
+    return F.concat(
+        tagged, F.lit("utm_source=Face%20book+%C3%A9&ID="), c("page_id"), F.lit("&note=50%zz%20off")
+    )
+
+
 def url_parts(spark, sf):
     url = F.col("url")
-    return star(spark, sf, "pages").select(
+    return star(spark, sf, "pages").withColumn("url", F.when(F.contains(url, F.lit("#")), url).otherwise(_ad_url())).select(
         "page_id",
         fn.url_param(url, "utm_source").alias("utm_source"),
         fn.url_param(url, "UTM_SOURCE").alias("utm_source_any_case"),
@@ -143,8 +153,9 @@ def latest_order_per_customer(spark, sf):
     return latest.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
 
 
-def customers_without_orders(spark, sf):
-    orders = star(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+def customers_without_orders(spark, sf, over: float = 0):
+    orders = star(spark, sf, "orders").where(F.col("o_totalprice") > over)
+    orders = orders.select(F.col("o_custkey").alias("c_custkey"))
     return unmatched(star(spark, sf, "customer"), orders, ["c_custkey"]).select(
         "c_custkey", "c_name"
     )
@@ -186,7 +197,7 @@ def line_money(spark, sf):
     c = F.col
     eighth = c("l_extendedprice") / 8
     micros = F.round(c("l_extendedprice") * 100).cast("bigint") * 10000 + 5000
-    return spread(star(spark, sf, "lineitem")).select(
+    return star(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_partkey",
         "l_linenumber",
@@ -231,7 +242,8 @@ def recent_events(spark, sf):
     """Rows within three days of the newest one; the bound is read once, as a literal."""
     events = star(spark, sf, "events")
     newest = events.agg(F.max("ts").cast("date")).first()[0]
-    return events.where(since(F.col("ts").cast("date"), newest - timedelta(days=3))).select(
+    first_day = newest and newest - timedelta(days=3)
+    return events.where(since(F.col("ts").cast("date"), first_day)).select(
         "event_id", "ts", "event_type", "value"
     )
 
@@ -241,16 +253,19 @@ QUERIES: dict[str, Query] = {
     "url_parts": query(
         url_parts,
         """
-        SELECT page_id, nullif(url_decode(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1)), '')
-                 AS utm_source,
-               nullif(url_decode(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1)), '')
-                 AS utm_source_any_case,
-               nullif(url_decode(regexp_extract(url, '(?i)[?&]id=([^&#]*)', 1)), '') AS id_param,
+        WITH tagged AS (
+            SELECT page_id, url, contains(url, '#') AS plain, split_part(split_part(url, 'utm_source=', 2), '&', 1) AS own,
+                   CASE WHEN contains(url, '?') THEN '&' ELSE '?' END AS mark
+            FROM pages)
+        SELECT page_id, CASE WHEN own <> '' THEN own WHEN NOT plain THEN 'Face book+é' END AS utm_source,
+               CASE WHEN own <> '' THEN own WHEN NOT plain THEN 'Face book+é' END AS utm_source_any_case,
+               CASE WHEN NOT plain THEN page_id::varchar END AS id_param,
                string_split(url, '?')[1] AS path,
                string_split(string_split(url, '?')[1], '#')[1] AS page_url,
                string_split(string_split(url, '://')[2], '/')[1] AS domain,
-               url_decode(url) AS decoded
-        FROM pages""",
+               CASE WHEN plain THEN url
+                 ELSE url || mark || 'utm_source=Face book+é&ID=' || page_id || '&note=50%zz off' END AS decoded
+        FROM tagged""",
     ),
     "event_props": query(
         event_props,
@@ -273,7 +288,13 @@ QUERIES: dict[str, Query] = {
         customers_without_orders,
         """
         SELECT c_custkey, c_name FROM customer
-        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""",
+        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 0)""",
+    ),
+    "customers_without_large_orders": query(
+        lambda spark, sf: customers_without_orders(spark, sf, over=250000),
+        """
+        SELECT c_custkey, c_name FROM customer
+        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 250000)""",
     ),
     "shipping_delay": query(
         shipping_delay,

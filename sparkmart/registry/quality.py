@@ -10,7 +10,8 @@ from ..config import shared_dir
 from ..operators.quality import Checks, duplicates, failing_rows, orphans, report
 from ..plans import pipeline
 from ..plans.checks import RAW_SUITE, SUITE
-from ..sources.starschema import raw_tables, star
+from ..sources.scan import conform, raw_schema
+from ..sources.starschema import PROJECTIONS, raw_tables, star
 from . import marketing, store
 from .present import Query, query, seed_values
 
@@ -137,9 +138,45 @@ def table_report(spark, sf):
     return report(tables, SUITE)
 
 
+# Raw tables with planted failures: the row-by-row projection of a star table without some values,
+# or with rows twice. (star table, its key, condition of the damaged rows, damaged raw column)
+DAMAGED = {
+    "shopify.orders": ("orders", "o_orderkey", "o_orderstatus = 'P'", "id"),
+    "facebook_marketing.campaigns": ("customer", "c_custkey", "c_nationkey = 3", "id"),
+    "ga4.events": ("events", "event_id", "event_type = 'error'", "event_name"),
+    "tiktok_marketing.campaigns_reports_daily": ("events", "event_id", "event_type = 'click'", "stat_time_day"),
+}
+
+
 def raw_report(spark, sf):
-    raw = raw_tables(spark, sf)
-    return report({name: raw(*name.split(".")) for name in RAW_SUITE}, RAW_SUITE)
+    """All raw checks over tables of which some lack values and some have rows twice."""
+    whole = raw_tables(spark, sf)
+    raw = {}
+    for name in RAW_SUITE:
+        system, table = name.split(".")
+        raw[name] = whole(system, table)
+        if name in DAMAGED:
+            source, _, bad, column = DAMAGED[name]
+            rows = star(spark, sf, source)
+            project = PROJECTIONS[system, table][1]
+            part = lambda where: conform(project(rows.where(where)), raw_schema(system, table))  # noqa: E731, B023
+            raw[name] = part(f"NOT ({bad})").unionAll(part(bad).withColumn(column, F.lit(None)))
+            if RAW_SUITE[name].unique:
+                raw[name] = raw[name].unionAll(part(f"NOT ({bad})"))
+    return report(raw, RAW_SUITE)
+
+
+def _raw_report_sql() -> str:
+    parts = []
+    for table, checks in RAW_SUITE.items():
+        source, key, bad, damaged = DAMAGED.get(table, ("region", "r_regionkey", "false", None))
+        for check, columns in (("not_null", checks.not_null), ("unique", checks.unique)):
+            for column in columns:
+                wanted = f"NOT ({bad})" if check == "unique" else bad
+                hit = damaged is not None and (check == "unique" or column == damaged)
+                count = f"(SELECT count(DISTINCT {key}) FROM {source} WHERE {wanted if hit else 'false'})"
+                parts.append(f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{column}' AS column_name, {count}::bigint AS failures")
+    return " UNION ALL ".join(parts)
 
 
 def _built_tables_sql() -> str:
@@ -177,14 +214,6 @@ QUERIES: dict[str, Query] = {
     "dq_table_report": query(table_report, _built_tables_sql()),
     "dq_raw_report": query(
         raw_report,
-        # Every check of the raw projections holds by construction.
-        "SELECT * FROM (VALUES "
-        + ", ".join(
-            f"('{table}', '{check}', '{column}', 0::bigint)"
-            for table, checks in RAW_SUITE.items()
-            for check, columns in (("not_null", checks.not_null), ("unique", checks.unique))
-            for column in columns
-        )
-        + ") t(table_name, check_name, column_name, failures)",
+        _raw_report_sql(),
     ),
 }

@@ -9,6 +9,8 @@ class Files:
     """Thin access to the Hadoop file system the tables live on."""
 
     def __init__(self, spark: SparkSession):
+        # The file system is the JVM's, so this needs a session in the driver's own JVM.
+        self._gateway = spark.sparkContext._gateway
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
@@ -38,7 +40,7 @@ class Files:
             stream.close()
 
     def write_text(self, path: str, text: str) -> None:
-        """Write beside the target, then rename, so a reader never sees half a file."""
+        """Write beside the target, then rename over it: a reader sees the old or the new text."""
         where, fs = self._open(path)
         temporary, _ = self._open(f"{path}.tmp")
         stream = fs.create(temporary, True)
@@ -46,9 +48,32 @@ class Files:
             stream.write(bytearray(text, "utf-8"))
         finally:
             stream.close()
+        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
+        context.rename(fs.makeQualified(temporary), fs.makeQualified(where), options)
+
+    def swap(self, new: str, path: str) -> None:
+        """Put a complete folder in the place of another. ``recover`` finishes a swap that broke off."""
+        old, fs = self._open(f"{path}.old")
+        where, _ = self._open(path)
+        if fs.exists(where):
+            fs.delete(old, True)
+            fs.rename(where, old)
+        fs.rename(self._open(new)[0], where)
+        fs.delete(old, True)
+
+    def recover(self, path: str) -> None:
+        """Bring back a folder whose swap broke off: the new one if it is complete, else the old."""
+        where, fs = self._open(path)
+        if not fs.exists(where):
+            if self.exists(f"{path}.new/_SUCCESS"):
+                fs.rename(self._open(f"{path}.new")[0], where)
+            elif self.exists(f"{path}.old"):
+                fs.rename(self._open(f"{path}.old")[0], where)
         if fs.exists(where):
-            fs.delete(where, False)
-        fs.rename(temporary, where)
+            fs.delete(self._open(f"{path}.old")[0], True)
 
     def delete(self, path: str) -> None:
         where, fs = self._open(path)

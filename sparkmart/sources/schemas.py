@@ -150,7 +150,8 @@ RAW_DDL: dict[str, dict[str, str]] = {
             is_smart_performance_campaign boolean, is_search_campaign boolean,
             create_time timestamp, modify_time timestamp, _airbyte_extracted_at timestamp""",
         "campaigns_reports_daily": """
-            advertiser_id bigint, campaign_id bigint, dimensions string, metrics string,
+            advertiser_id bigint, campaign_id bigint, stat_time_day string,
+            dimensions string, metrics string,
             _airbyte_extracted_at timestamp""",
     },
 }

@@ -27,15 +27,6 @@ def star(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a small file: one row group is one task.
-
-    Inputs with at least a task per core, so any large table, are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def shopify_orders(orders: DataFrame) -> DataFrame:
     base = orders.selectExpr(
         "*",
@@ -552,6 +543,7 @@ def tiktok_reports(events: DataFrame) -> DataFrame:
     ).selectExpr(
         "user_id as advertiser_id",
         f"{TIKTOK_BASE} + user_id as campaign_id",
+        "date_format(at, 'yyyy-MM-dd 00:00:00') as stat_time_day",
         "to_json(named_struct('stat_time_day', date_format(at, 'yyyy-MM-dd 00:00:00')))"
         " as dimensions",
         "to_json(named_struct('impressions', cast(k * 9 as string), 'clicks', cast(k as string),"
@@ -584,17 +576,12 @@ PROJECTIONS = {
 }
 
 
-# Read by costly projections; worth all cores even for one small file.
-_SPREAD = ("orders", "events", "lineitem")
-
-
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """All raw tables as projections of the star schema in ``sf_dir``."""
 
     @cache
     def rows(table: str) -> DataFrame:
-        df = star(spark, sf_dir, table)
-        return spread(df) if table in _SPREAD else df
+        return star(spark, sf_dir, table)
 
     def frame(table: str, project: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
         return lambda: project(rows(table))

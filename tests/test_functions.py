@@ -159,10 +159,33 @@ def test_json_objects(spark):
     assert many(spark, texts, build) == ["12345678901234567", None, None, None, None, '{"a":1}']
 
 
-@pytest.mark.parametrize("text", ["{bad", "[1]"])
-def test_malformed_json_stops_the_run(spark, text):
+@pytest.mark.parametrize("text", ["{bad", "[1", "abc", "", " "])
+@pytest.mark.parametrize("parse", [fn.parse_object, fn.parse_objects])
+def test_malformed_json_stops_the_run(spark, text, parse):
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        one(spark, text, lambda c: fn.parse_object(c, ITEMS)["id"])
+        one(spark, text, lambda c: parse(c, ITEMS).cast("string"))
+
+
+ODD_DOCUMENTS = ["[]", '"x"', "5", "true", "null", "{}", ' \n{"id":"7"}', '{"a":{"id":"1"},"b":{"id":"2"}}']
+
+
+def test_documents_of_another_kind_equal_duckdb(spark):
+    con = duckdb.connect()
+    ids = "SELECT (json(?)->>'id')"
+    expected = [con.execute(ids, [t]).fetchone()[0] for t in ODD_DOCUMENTS]
+    assert many(spark, ODD_DOCUMENTS, lambda c: fn.parse_object(c, ITEMS)["id"]) == expected
+    lines = "SELECT list(v.value->>'id') FROM (SELECT json(?) AS j), json_each(j) AS v"
+    expected = [con.execute(lines, [t]).fetchone()[0] or [] for t in ODD_DOCUMENTS]
+    got = many(spark, ODD_DOCUMENTS, lambda c: F.transform(fn.parse_objects(c, ITEMS), lambda x: x["id"]))
+    assert [sorted(x, key=str) for x in got] == [sorted(x, key=str) for x in expected]
+
+
+def test_whole_numbers_from_text(spark):
+    texts = ["2", "2.0", "2.5", "-2.4", " 7 ", None, "12345678901234567"]
+    want = [int(x) if x else None for x in ("2", "2", "3", "-2", "7", None, "12345678901234567")]
+    assert many(spark, texts, lambda c: fn.whole(c, "bigint")) == want
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        one(spark, "x", lambda c: fn.whole(c, "int"))
 
 
 def test_json_array_items(spark):

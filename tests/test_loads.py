@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkmart.operators.incremental import DayTable, since
-from sparkmart.operators.scd2 import History, as_of, changed_only, recorded_and_source
+from sparkmart.operators.scd2 import History, as_of, changed_only, in_order, recorded_and_source
+from sparkmart.plans.pipeline import write_table
+from sparkmart.sources.files import Files
 
 D = date(2024, 1, 10)
 
@@ -200,6 +202,104 @@ def test_new_source_column_joins_the_history(spark, tmp_path):
     assert got[("A", 660)] is None and got[("A", 900)] == "x"
 
 
+@pytest.mark.parametrize("key", [1, None])
+def test_repeated_and_null_keys_stop_the_run(spark, tmp_path, key):
+    h = History(spark, f"file://{tmp_path}/h", "id", "updated_time")
+    bad = campaigns(X=(key, "X", "ACTIVE", 1, T0))
+    with pytest.raises(Exception, match="history needs one row per id"):
+        h.snapshot(spark.createDataFrame(bad, SCHEMA), RUN1)
+    assert h.runs() == [] and h.versions().count() == 0
+    h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), RUN1)
+    with pytest.raises(Exception, match="history needs one row per id"):
+        h.snapshot(spark.createDataFrame(bad, SCHEMA), RUN2)
+    for run in (RUN2, RUN2, RUN3):
+        h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), run)
+    assert h.versions().count() == 5
+
+
+def test_times_do_not_depend_on_the_system_zone(spark, tmp_path, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        h = History(spark, f"file://{tmp_path}/h", "id", "updated_time")
+        source = spark.sql("SELECT 1L AS id, timestamp'2026-01-01 00:00:00' AS updated_time")
+        h.snapshot(source, T1)
+        h.snapshot(source.where("false"), T2)
+        stamps = h.versions().selectExpr("cast(dbt_valid_from AS string) AS f", "cast(dbt_valid_to AS string) AS t")
+        assert sorted((r.f, r.t or "") for r in stamps.collect()) == [
+            ("2026-01-01 00:00:00", "2026-03-01 00:00:00"), ("2026-03-01 00:00:00", ""),
+        ]
+        assert as_of(h.versions(), T2 - timedelta(hours=1)).count() == 1
+        assert as_of(h.versions(), T2 + timedelta(hours=1)).count() == 0
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_versions_in_order(history):
+    rows = in_order(history.versions(), "name").select("name", "dbt_valid_from").collect()
+    assert [tuple(r) for r in rows] == sorted(tuple(r) for r in rows)
+
+
+class Crash(Exception):
+    pass
+
+
+def crash_after(monkeypatch, step):
+    """Let the driver be lost after so many writes, renames and deletions."""
+    left = [step]
+    for owner, name in ((Files, "write_text"), (Files, "delete"), (Files, "swap"), (DayTable, "_write")):
+        def broken(self, *args, call=getattr(owner, name)):
+            call(self, *args)
+            left[0] -= 1
+            if left[0] == 0:
+                raise Crash
+
+        monkeypatch.setattr(owner, name, broken)
+
+
+@pytest.mark.parametrize("step", range(1, 6))
+@pytest.mark.parametrize("refresh", [False, True])
+def test_a_crash_after_any_step_is_recovered(spark, table, monkeypatch, step, refresh):
+    old, new = [("a", day(0), 1), ("a", day(5), 1)], [("b", day(5), 2), ("b", day(6), 2)]
+    for rows, full in ((old, False), (new, refresh)):
+        with monkeypatch.context() as m:
+            crash_after(m, step)
+            try:
+                load(table, frame(spark, rows), full_refresh=full)
+            except Crash:
+                pass
+        load(table, frame(spark, rows), full_refresh=full)
+        assert table.schema() is not None
+    gone = refresh
+    kept = [] if gone else [("a", day(0), 1)] + ([("a", day(5), 1)] if table.keys else [])
+    assert content(table) == sorted(new + kept, key=str)
+    assert table._files.folders(table._load) == []
+
+
+def test_keys_without_the_day_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="must hold the day"):
+        DayTable(spark, f"file://{tmp_path}/t", "d", ["id"])
+
+
+def test_a_table_survives_a_failed_or_lost_write(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/mart"
+    assert write_table(spark.range(3), path).count() == 3
+    with pytest.raises(Exception, match="broken"):
+        write_table(spark.range(5).selectExpr("id", "raise_error('broken') AS x"), path)
+    assert spark.read.parquet(path).count() == 3
+    files = Files(spark)
+    spark.range(4).write.mode("overwrite").parquet(f"{path}.new")
+    (tmp_path / "mart").rename(tmp_path / "mart.old")  # lost between the two renames
+    files.recover(path)
+    assert spark.read.parquet(path).count() == 4 and not (tmp_path / "mart.old").exists()
+    (tmp_path / "mart").rename(tmp_path / "mart.old")
+    files.recover(path)
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_superseded_open_versions_can_be_dropped(spark, tmp_path):
     h = History(spark, f"file://{tmp_path}/h", "id", "updated_time")
     h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), RUN1)

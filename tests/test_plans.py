@@ -9,6 +9,7 @@ from compare import connect, differences
 from pyspark.sql import functions as F
 
 from sparkmart.config import Settings, shared_dir
+from sparkmart.operators.quality import Checks
 from sparkmart.operators.scd2 import as_of
 from sparkmart.plans import checks, intermediate, pipeline, shopify
 from sparkmart.registry import QUERIES
@@ -279,7 +280,7 @@ def test_the_whole_job_twice(spark, sf_dir, raw_files, tmp_path):
     def settings(run_time, **kw):
         return Settings(
             f"file://{raw_files}", f"file://{tmp_path}", {"tiktok_marketing": "sandbox_tiktok"},
-            run_time=run_time, **kw,
+            run_time=run_time, run_checks=False, **kw,
         )
 
     pipeline.run(spark, settings(datetime(2024, 6, 1)))
@@ -297,6 +298,26 @@ def test_the_whole_job_twice(spark, sf_dir, raw_files, tmp_path):
     assert differences(present(refreshed["ga4_events"]), con, QUERIES["ga4_events"].sql) is None
 
 
+def test_the_job_stops_on_failed_checks(spark, raw_files, tmp_path, monkeypatch):
+    settings = Settings(f"file://{raw_files}", f"file://{tmp_path}", {"tiktok_marketing": "sandbox_tiktok"})
+    monkeypatch.setattr(checks, "RAW_SUITE", {"shopify.orders": Checks(unique=["id"], not_null=["closed_at"])})
+    with pytest.raises(checks.ChecksFailed, match="shopify.orders: not_null of closed_at failed"):
+        pipeline.run(spark, settings)
+    assert not list(tmp_path.iterdir())  # nothing was loaded
+    monkeypatch.setattr(checks, "RAW_SUITE", {"shopify.orders": Checks(unique=["id"])})
+    monkeypatch.setattr(checks, "SUITE", {"dim_campaigns": Checks(minimum={"campaign_key": "z"}, unique=["campaign_key"])})
+    with pytest.raises(checks.ChecksFailed) as stopped:
+        pipeline.run(spark, settings)
+    found = {(t, check) for t, check, _, _ in stopped.value.failures}
+    assert ("dim_campaigns", "accepted_range") in found and ("channel_mapping", "all_utm_pairs_mapped") in found
+    assert ("dim_campaigns", "unique") not in found
+
+
+def test_enriched_orders_have_no_expand(spark, sf_dir):
+    plan = QUERIES["orders_enriched_lineitem"].run(spark, sf_dir)._jdf.queryExecution().toString()
+    assert "Expand" not in plan and "RoundRobin" not in plan
+
+
 def test_order_lines_parse_only_wanted_fields(spark):
     raw = raw_frame(spark, "shopify", "orders", ORDERS)
     full = shopify.order_lines(raw)
