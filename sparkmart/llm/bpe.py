@@ -26,8 +26,9 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import shared_dir
 from . import spans
-from .work import Work, work_dir
+from .work import Work
 
 #: Fixed value: how the tokenizer splits a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -349,7 +350,7 @@ def build_lexicon(words: list[str], vocab: Vocabulary) -> bytes:
 def _publish(spark: SparkSession, data: bytes) -> str:
     """Write a file to the shared folder and have every executor fetch it."""
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = f"{work_dir(spark)}/{name}"
+    path = f"{shared_dir(spark)}/{name}"
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
     try:

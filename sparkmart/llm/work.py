@@ -1,26 +1,21 @@
-"""Working tables in the folder that the cluster shares, and columns that may be missing."""
+"""Working tables in the folder that the cluster shares."""
 
 from __future__ import annotations
 
 import os
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def work_dir(spark: SparkSession) -> str:
-    """A new folder name below spark.checkpoint.dir; below the warehouse where that is unset."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    top = top or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-    return f"{top.rstrip('/')}/llm-{uuid.uuid4().hex}"
+from ..config import shared_dir
 
 
 class Work:
-    """Tables of one job. A written table cuts the lineage: lost executors reread it."""
+    """Tables of one job. A written table cuts the lineage: lost executors reread it. The folder is
+    shared by the cluster and goes when the driver ends."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.dir, self.count = spark, work_dir(spark), 0
+        self.spark, self.dir, self.count = spark, shared_dir(spark), 0
 
     def stored(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.count += 1
@@ -28,26 +23,11 @@ class Work:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *keep: DataFrame) -> None:
-        """Delete the tables that none of the kept frames reads."""
-        kept = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for df in keep for f in df.inputFiles()}
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        top = jvm.org.apache.hadoop.fs.Path(self.dir)
-        files = top.getFileSystem(conf)
-        for s in files.listStatus(top) if files.exists(top) else ():
-            if s.getPath().getName() not in kept:
-                files.delete(s.getPath(), True)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def plain(docs: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, so that other columns of any name can't clash."""
-    return docs.select(*[docs[c] for c in columns])
-
-
 def reachable(spark: SparkSession) -> SparkSession:
     """Let the Python workers of this machine import this package from where the driver did. On a
     cluster install the package on the executors or pass it with --py-files."""
