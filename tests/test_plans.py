@@ -225,22 +225,19 @@ def test_shared_dir_is_the_cluster_setting(spark):
     assert first.startswith(f"{root}/sparkmart-") and first != second
 
 
-class _Session:
-    """A session without the setting."""
+def test_working_folders_are_shared(spark, monkeypatch):
+    top = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark).startswith(f"{top}/sparkmart-")
+    assert shared_dir(spark) != shared_dir(spark)
 
-    def __init__(self, master):
-        self.conf = {}
-        self.sparkContext = self
-        self.master = master
+    class Unset:
+        sparkContext = spark.sparkContext
 
-    def getConf(self):
-        return self.conf
+        class conf:
+            get = staticmethod(lambda key, default=None: "hdfs://x/warehouse/" if "warehouse" in key else default)
 
-
-def test_only_a_local_session_may_use_a_temporary_folder():
-    assert shared_dir(_Session("local[2]")).startswith("/tmp/run-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(_Session("yarn"))
+    monkeypatch.setattr(spark.sparkContext, "getConf", lambda: Unset.conf)
+    assert shared_dir(Unset).startswith("hdfs://x/warehouse/_work/sparkmart-")
 
 
 @pytest.fixture(scope="module")
