@@ -145,6 +145,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN bad USING (source)
 """
 
+SQL_7 = r"""
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), wins AS (
+  SELECT doc_id, i, md5(array_slice(b, i + 1, i + 200)) AS win FROM (SELECT doc_id, b, unnest(range(n - 199)) AS i FROM d WHERE n >= 200)
+), twice AS (SELECT win FROM wins GROUP BY win HAVING count(*) > 1
+), starts AS (SELECT doc_id, i FROM wins WHERE win IN (SELECT win FROM twice)
+), marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 200 THEN 0 ELSE 1 END AS new FROM starts WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS z
+  FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked) GROUP BY doc_id, g
+), pieces AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM spans
+  UNION ALL SELECT d.doc_id, coalesce(max(spans.z), 0), any_value(n) FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a) AS h FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+), sums AS (SELECT doc_id, sum(z - a) AS gone, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_quality_classifier": LlmQuery(op1_quality_classifier),
     "op2_html_text": LlmQuery(op2_html_text),
@@ -152,7 +175,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op4_token_files": LlmQuery(op4_token_files),
     "op5_benchmark_decontamination": LlmQuery(op5_benchmark_decontamination, SQL_5),
     "op6_quality_rules": LlmQuery(op6_quality_rules, SQL_6),
-    "op7_repeated_substrings": LlmQuery(op7_repeated_substrings),
+    "op7_repeated_substrings": LlmQuery(op7_repeated_substrings, SQL_7),
     "op8_sharding": LlmQuery(op8_sharding),
     "op9_toxicity": LlmQuery(op9_toxicity),
     "op10_bpe": LlmQuery(op10_bpe),
