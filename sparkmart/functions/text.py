@@ -43,12 +43,14 @@ def full_name(*parts: Column) -> Column:
 
 def has_tag(tags: Column, tag: str) -> Column:
     """Whether a comma list holds ``tag``; a missing list holds nothing."""
+    # Fixed value: a tag stands between commas, with any white space around it.
     pattern = rf"(^|,){_SPACE}*{re.escape(tag)}{_SPACE}*(,|\z)"
     return F.rlike(F.coalesce(tags, F.lit("")), F.lit(pattern))
 
 
 def strip_prefix(text: Column, word: str) -> Column:
     """Remove a leading ``<word> - ``."""
+    # Fixed value: the separator is a hyphen with any white space around it.
     return F.regexp_replace(text, rf"^{re.escape(word)}{_SPACE}*-{_SPACE}*", "")
 
 

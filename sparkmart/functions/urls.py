@@ -26,6 +26,7 @@ def url_param(url: Column, name: str) -> Column:
 
     Most URLs lack most parameters; the plain text test spares them the pattern.
     """
+    # Fixed value: a parameter ends at the next & or #.
     raw = F.regexp_extract(url, f"(?i)[?&]{re.escape(name)}=([^&#]*)", 1)
     maybe = F.contains(F.lower(url), F.lit(f"{name.lower()}="))
     return F.when(maybe, blank_to_null(percent_decode(raw)))
@@ -43,4 +44,5 @@ def without_query_and_fragment(url: Column) -> Column:
 
 def referrer_domain(url: Column) -> Column:
     """Host (and port) of an http(s) URL, else null."""
+    # Fixed value: what counts as the host of a referrer.
     return blank_to_null(F.regexp_extract(url, "^https?://([^/]+)", 1))
