@@ -10,12 +10,15 @@ Documents with equal sets are one node, however many. In a bucket, candidates ar
 centre against all others, so a bucket of n nodes gives n - 1 pairs. The first centre is the node
 that meets most others over all its buckets, the one in the middle of its group. Pairs are
 confirmed on the full sets. Linked nodes are joined into components; buckets that still hold more
-than one component get another round with new centres, drawn per bucket, as long as rounds find
-links (at least MIN_ROUNDS). No bucket, group or candidate list is capped.
+than one component get another round with new centres, drawn per bucket. A few such rounds join
+most of a group. What they leave is settled exactly: buckets of up to SMALL_BUCKET nodes test every
+pair of different components, and nodes of larger ones meet by a prefix filter. Two sets that are
+similar enough have one of their rarest shingles in common: among the first n - ceil(6 n / 7) + 1 of
+the smaller set and the first n - ceil(3 n / 4) + 1 of the larger one, both in one order by
+frequency. No bucket, group, round or candidate list is capped.
 
-Two documents at similarity 0.75 share no bucket with a chance below 1 in 100,000. A link whose
-both ends are never a centre against each other, and whose ends no chain of other links joins,
-would be missed; the README has measured figures.
+So every link between documents that share a bucket is found, or its ends are joined by others. Two
+documents at similarity 0.75 share no bucket with a chance below 1 in 100,000.
 
 Defined results: null texts and texts without words have an empty set and are linked with nothing.
 Rows of one doc_id are one document: what links one links all. Rows without doc_id get no
@@ -37,11 +40,16 @@ from .work import Work
 
 SHINGLE, BINS, ROWS = 5, 128, 4
 BANDS = BINS // ROWS
-MIN_ROUNDS, MAX_ROUNDS = 3, 12
+#: Rounds of stars at most. More of them leave less to the prefix filter; links don't depend on it.
+ROUNDS = 4
 #: In buckets of so few nodes the second round tests every pair of different components: at most
 #: SMALL_BUCKET / 2 pairs a node. Two texts that share their own changes against the middle of a
-#: group meet there, where no centre would link them.
+#: group meet there, where no centre would link them. Larger buckets are left to the prefix filter.
 SMALL_BUCKET = 64
+#: Shingles are counted in 2**SLOT_BITS slots to order them by frequency.
+SLOT_BITS = 20
+
+PREFIX = "id long, size long, place long, opens boolean, key long"
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -164,6 +172,67 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
 
 
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (spans.mix(keys) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of the sets lie in each slot."""
+    total = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in spans.sliced(batches, "shingles"):
+        total += np.bincount(_slots(spans.text_bytes(batch.column("shingles"))[0].view(np.uint64)), minlength=len(total))
+    some = np.flatnonzero(total)
+    for at in range(0, len(some), 1 << 16):
+        part = some[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["slot", "n"])
+
+
+def prefixes(keys: np.ndarray, offsets: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The rarest shingles of each set by slot and key: set, size of it, place in the order, whether
+    the smaller set of a pair can open with it, and shingle."""
+    sizes = np.diff(offsets)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((keys, frequency[_slots(keys)], doc))
+    size, place = sizes[doc], np.arange(len(keys)) - offsets[doc]
+    first = place <= size - (3 * size + 3) // 4
+    opens = place <= size - (6 * size + 6) // 7
+    return doc[first], size[first], place[first], opens[first], keys[order][first]
+
+
+def rare_pairs(work: Work, sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b), not all of them similar, of nodes in different parts: all that are similar are
+    among them. parts: id, part. A set's shingles are ordered by how frequent they are in these sets,
+    so what a whole source has in common comes last and opens no pair."""
+    sets = work.stored(sets.join(parts, sets["node"] == parts["id"]).select("id", "shingles"), "open")
+    frequency = np.zeros(1 << SLOT_BITS, np.int64)
+    slots = sets.select("shingles").mapInArrow(_slot_rows, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    frequency[slots["slot"].to_numpy()] = slots["n"].to_numpy()
+    shared = work.spark.sparkContext.broadcast(frequency)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in spans.sliced(batches, "shingles"):
+            raw, offsets = spans.text_bytes(batch.column("shingles"))
+            doc, *columns, key = prefixes(raw.view(np.uint64), offsets // 8, shared.value)
+            columns = [batch.column("id").take(pa.array(doc)), *(pa.array(x) for x in columns), pa.array(key.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "size", "place", "opens", "key"])
+
+    mates = parts.join(parts.groupBy("part").agg(F.count("*").alias("mates")), "part")
+    rows = work.stored(sets.mapInArrow(run, PREFIX).join(mates, "id"), "prefixes")
+    # members of a shingle's largest part needn't meet each other
+    keys = rows.groupBy("key").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.max("opens").alias("opened"), F.max(F.struct("mates", "part")).alias("top")
+    )
+    keys = keys.where("opened and low <> high").select("key", F.col("top.part").alias("top"))
+    met = work.stored(rows.join(keys, "key").select("key", "id", "size", "place", "opens", "part", (F.col("part") == F.col("top")).alias("main")), "rare")
+    one = met.where("opens").select("key", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"), F.col("part").alias("part_a"), F.col("main").alias("main_a"))
+    two = met.withColumnRenamed("id", "b")
+    pairs = one.where("not main_a").join(two, "key").unionByName(one.where("main_a").join(two.where("not main"), "key"))
+    # a is the smaller set; what two sets have in common lies behind their first common shingle
+    pairs = pairs.where("part_a <> part and (size_a < size or size_a = size and a < b) and 4 * size_a >= 3 * size")
+    pairs = pairs.where("7 * least(size_a - place_a, size - place) >= 3 * (size_a + size)")
+    return pairs.select("a", "b").distinct()
+
+
 def find_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     work = Work(spark)
@@ -195,20 +264,24 @@ def find_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     links = work.stored(same.where("a <> b").distinct(), "links")
     found = components(work, links)
-    for turn in range(MAX_ROUNDS):
-        in_parts = met.join(found, met["id"] == found["node"], "left")
-        in_parts = in_parts.select("key", "id", "size", "weight", F.coalesce("component", "id").alias("part"))
+
+    def in_parts() -> DataFrame:
+        rows = met.join(found, met["id"] == found["node"], "left")
+        return rows.select("key", "id", "size", "weight", F.coalesce("component", "id").alias("part"))
+
+    for turn in range(ROUNDS):
+        rows_of = in_parts()
         order = F.col("weight") if turn == 0 else F.xxhash64("id", "key", F.lit(turn))
-        centres = in_parts.groupBy("key").agg(
+        centres = rows_of.groupBy("key").agg(
             F.max(F.struct(order.alias("order"), F.col("id").alias("a"), F.col("part").alias("part_a"))).alias("c"),
             F.min("part").alias("low"),
             F.max("part").alias("high"),
         )
         centres = centres.where("low <> high").select("key", "c.a", "c.part_a")
-        pairs = in_parts.join(centres, "key").where("part <> part_a").select("a", F.col("id").alias("b"))
+        pairs = rows_of.join(centres, "key").where("part <> part_a").select("a", F.col("id").alias("b"))
         if turn == 1:
-            one = in_parts.where(F.col("size") <= SMALL_BUCKET).select("key", F.col("id").alias("a"), F.col("part").alias("part_a"))
-            two = in_parts.where(F.col("size") <= SMALL_BUCKET).select("key", F.col("id").alias("b"), "part")
+            one = rows_of.where(F.col("size") <= SMALL_BUCKET).select("key", F.col("id").alias("a"), F.col("part").alias("part_a"))
+            two = rows_of.where(F.col("size") <= SMALL_BUCKET).select("key", F.col("id").alias("b"), "part")
             pairs = pairs.union(one.join(two, "key").where("a < b and part <> part_a").select("a", "b"))
         pairs = pairs.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct() if turn else pairs.distinct()
         new = work.stored(confirm(pairs, sets), "links")
@@ -216,9 +289,18 @@ def find_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
         if some:
             links = links.union(new)
             found = components(work, links)
-        elif turn + 1 >= MIN_ROUNDS:
+        elif turn:
             break
 
+    large = in_parts().where(F.col("size") > SMALL_BUCKET)
+    mixed = large.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
+    left = work.stored(large.join(mixed, "key").select("id", "part").distinct(), "left")
+    if left.limit(1).count():
+        new = work.stored(confirm(rare_pairs(work, sets, left), sets), "links")
+        if new.limit(1).count():
+            links = links.union(new)
+            found = components(work, links)
+
     # the label of a component is an id of a set; its smallest doc_id is the smallest node's
     named = ids.join(found.withColumnRenamed("node", "id"), "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))

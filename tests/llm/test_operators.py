@@ -195,6 +195,38 @@ def test_near_groups_of_a_family(llm):
     assert got == near_groups(rows)
 
 
+def test_siblings_in_a_templated_source(llm):
+    """Texts of one template that is no link by itself (0.74); pairs of them share a few words more.
+    They meet in buckets of hundreds only, where no centre links them."""
+    template, rows = [f"t{i}" for i in range(343)], []
+    for i in range(200):
+        common = [f"s{i}x{k}" for k in range(7)]
+        for j in range(2):
+            rows.append((2 * i + j, " ".join([*template, *common, *(f"u{i}x{j}x{k}" for k in range(54))])))
+    want = near_groups(rows)
+    assert len(set(want.values())) == 200
+    got = {r.doc_id: r.component_id for r in neardup.find_groups(llm, edge_docs(llm, [(i, t, "s", "en", 1) for i, t in rows])).collect()}
+    assert got == want
+
+
+def test_rare_pairs_cover_all_similar_sets(llm):
+    """Sets of many sizes around the limit, in parts of many sizes."""
+    rng = random.Random(29)
+    base, sets = [rng.getrandbits(64) for _ in range(60)], {}
+    for i in range(300):
+        keep = rng.sample(base, rng.randrange(30, 61))
+        sets[i] = sorted({*keep, *(rng.getrandbits(64) for _ in range(rng.randrange(20)))})
+    part = {i: rng.choice([0, 0, 0, 1, 2, i]) for i in sets}
+    want = {
+        frozenset((i, j)) for i in sets for j in sets
+        if part[i] != part[j] and 7 * len({*sets[i]} & {*sets[j]}) >= 3 * (len(sets[i]) + len(sets[j]))
+    }
+    stored = llm.createDataFrame([(i, np.array(x, np.uint64).tobytes()) for i, x in sets.items()], "node long, shingles binary")
+    parts = llm.createDataFrame(list(part.items()), "id long, part long")
+    got = {frozenset(r) for r in neardup.rare_pairs(Work(llm), stored, parts).collect()}
+    assert len(want) > 500 and want <= got
+
+
 def test_signatures_estimate_similarity():
     texts = [" ".join(f"t{i}" for i in range(a, a + 400)) for a in (0, 20, 40, 100)] + ["a b c d e f", "a b c d e f"]
     keys, offsets = neardup.shingle_sets(pa.array(texts))
