@@ -204,22 +204,42 @@ def _number(item: Element, expected: int) -> int:
     return int(value) if value.isascii() and value.isdigit() and len(value) < 10 else expected
 
 
-def _rows(element: Element) -> Iterator[list[Element]]:
-    """Rows of a table, not those of tables inside its cells; cells without a row make one."""
+def _rows(element: Element, rest: list[Element | str]) -> Iterator[list[Element]]:
+    """Rows of a table, not those of tables inside its cells; cells without a row make one. Rows and
+    cells are also found inside other elements; whatever is in none of them goes to rest."""
     loose: list[Element] = []
     for child in element.children:
-        if isinstance(child, str) or not child.seen():
+        if isinstance(child, str):
+            rest.append(child)
+        elif not child.seen():
             continue
-        if child.name in ("td", "th"):
+        elif child.name in ("td", "th"):
             loose.append(child)
         elif child.name == "tr":
-            yield [x for x in child.children if isinstance(x, Element) and x.name in ("td", "th") and x.seen()]
-        elif child.name in ("thead", "tbody", "tfoot"):
-            yield from _rows(child)
+            row: list[Element] = []
+            for cells in _rows(child, rest):
+                row += cells
+            yield row
+        elif child.name in ("thead", "tbody", "tfoot") or child.name not in ("table", "caption") and _has_cells(child):
+            yield from _rows(child, rest)
+        else:
+            rest.append(child)
     if loose:
         yield loose
 
 
+def _has_cells(element: Element) -> bool:
+    """Whether rows or cells lie in the element, outside tables of its own."""
+    todo = [element]
+    while todo:
+        for child in todo.pop().children:
+            if isinstance(child, Element) and child.name != "table" and child.seen():
+                if child.name in ("tr", "td", "th"):
+                    return True
+                todo.append(child)
+    return False
+
+
 def _span(cell: Element) -> int:
     value = (cell.attributes.get("colspan") or "1").strip()
     return min(max(int(value), 1), 100) if value.isascii() and value.isdigit() and len(value) < 6 else 1
@@ -227,9 +247,8 @@ def _span(cell: Element) -> int:
 
 def _table(table: Element) -> list[str]:
     """Rows with cells padded to their columns; a cell's lines are joined, so a row is a line."""
-    rest = Element("div", {})  # what isn't part of a row: captions and misplaced content
-    rest.children = [x for x in table.children if isinstance(x, str) or x.name not in PARTS - {"caption"}]
-    rows = [[(" ".join(filter(None, _lines(cell))), _span(cell)) for cell in row] for row in _rows(table)]
+    rest = Element("div", {})  # what isn't part of a cell: captions and misplaced content
+    rows = [[(" ".join(filter(None, _lines(cell))), _span(cell)) for cell in row] for row in _rows(table, rest.children)]
     widths: dict[int, int] = {}
     for row in rows:
         column = 0

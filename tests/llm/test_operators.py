@@ -158,6 +158,20 @@ def test_page_layout():
     assert html_text.render("<div style='visibility:hidden'>x</div><template>y</template>z<input type=hidden value=v>") == "z"
 
 
+def test_misplaced_content_of_tables_is_kept():
+    for page, text in (
+        ("<table><tr><form><td>Name<td>N</form></tr></table>", "Name  N"),
+        ("<table><tr><center><td>Name</center><td>N</tr></table>", "Name  N"),
+        ("<table><tbody><form><tr><td>a<td>b</tr><tr><td>c</tr></form></table>", "a  b\nc"),
+        ("<table><tr>loose text</tr><tr><td>a</table>", "loose text\na"),
+        ("<table><tbody><p>x</p><tr><td>a</tbody></table>", "x\na"),
+        ("<table><tr><p>x</p><p hidden>y</p><td>a</tr></table>", "x\na"),
+        ("<table><colgroup>x</colgroup><tr><td>a</table>", "x\na"),
+        ("<table><tr><form><table><tr><td>in</table></form><td>a</table>", "in\na"),
+    ):
+        assert html_text.render(page) == text, page
+
+
 def test_pages(llm):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, None, "")]
     pages = llm.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as text")
