@@ -9,14 +9,15 @@ and headings are set off by a blank line, list items carry a bullet or their num
 indented by depth, cells of a table are padded to columns, and pre keeps its spaces.
 
 Defined results: null and empty pages give empty text. Broken markup is text where it can't be a
-tag. Elements nested deeper than MAX_DEPTH become siblings. Repeated rows are rendered one by one.
+tag. Elements may be nested to any depth. Repeated rows are rendered one by one.
 An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Generator, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -24,8 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import spans
 
-MAX_DEPTH = 150
-
 #: Element names of the HTML standard, by how they are treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head script style template noscript title audio video canvas svg math object iframe datalist".split())
@@ -74,17 +73,21 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
         self.open = [self.root]
+        self.at: dict[str, list[int]] = {}  # where in open the elements of each name are, but for the root
+
+    def _last(self, names: set[str] | tuple[str, ...]) -> int:
+        return max((self.at[x][-1] for x in names if self.at.get(x)), default=0)
+
+    def _end(self, at: int) -> None:
+        while len(self.open) > at:
+            self.at[self.open.pop().name].pop()
 
     def _close(self, names: set[str], within: set[str]) -> None:
         """End the outermost open element of the names inside the nearest container."""
-        at = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name in within or self.open[i].name == "table" and "table" not in names:
-                break
-            if self.open[i].name in names:
-                at = i
-        if at is not None:
-            del self.open[at:]
+        bound = self._last(within | {"table"})
+        inside = [found[i] for x in names if (found := self.at.get(x)) and (i := bisect_right(found, bound)) < len(found)]
+        if inside:
+            self._end(min(inside))
 
     def handle_starttag(self, name: str, attributes: list[tuple[str, str | None]]) -> None:
         if name == "html":
@@ -94,10 +97,11 @@ class TreeBuilder(HTMLParser):
         if name in _PARAGRAPH_ENDS:
             self._close({"p"}, {"td", "th", "table", "li", "button", "object"})
         if "head" in (e.name for e in self.open[1:2]) and name not in UNSEEN | {"base", "link", "meta"}:
-            del self.open[1:]  # content begins without a body tag
+            self._end(1)  # content begins without a body tag
         element = Element(name, dict(attributes))
         self.open[-1].children.append(element)
-        if name not in VOID and len(self.open) < MAX_DEPTH:
+        if name not in VOID:
+            self.at.setdefault(name, []).append(len(self.open))
             self.open.append(element)
 
     def handle_startendtag(self, name: str, attributes: list[tuple[str, str | None]]) -> None:
@@ -107,16 +111,15 @@ class TreeBuilder(HTMLParser):
         if name == "br":
             self.open[-1].children.append(Element("br", {}))
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name == name:
-                del self.open[i:]
-                return
-            if self.open[i].name in ("td", "th", "table") and name not in PARTS | {"table"}:
-                return  # an end tag in a cell can't end what is outside
+        at = self._last((name,))
+        if name not in PARTS | {"table"} and self._last(("td", "th", "table")) > at:
+            return  # an end tag in a cell can't end what is outside
+        if at:
+            self._end(at)
 
     def handle_data(self, data: str) -> None:
         if self.open[-1].name == "head" and data.strip():
-            del self.open[-1:]
+            self._end(len(self.open) - 1)
         self.open[-1].children.append(data)
 
 
@@ -157,16 +160,31 @@ class Lines:
             self.flush(keep=True)
 
 
-def _lines(element: Element, keep: bool = False) -> list[str]:
+def _run(task: Generator):
+    """What the task returns. Tasks yield the tasks whose results they need, so depth is no recursion."""
+    stack, value = [task], None
+    while stack:
+        try:
+            task = stack[-1].send(value)
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+        else:
+            stack.append(task)
+            value = None
+    return value
+
+
+def _lines(element: Element, keep: bool = False) -> Generator:
     out = Lines()
-    _walk(element, out, keep)
+    yield _walk(element, out, keep)
     out.flush()
     while out.done and not out.done[-1]:
         out.done.pop()
     return out.done
 
 
-def _walk(element: Element, out: Lines, keep: bool) -> None:
+def _walk(element: Element, out: Lines, keep: bool) -> Generator:
     number = 0
     for child in element.children:
         if isinstance(child, str):
@@ -184,19 +202,19 @@ def _walk(element: Element, out: Lines, keep: bool) -> None:
             out.flush()
             out.gap |= name in SPACED and not (name in ("ul", "ol") and element.name == "li")
             if name == "table":
-                out.block(_table(child))
+                out.block((yield _table(child)))
             elif name == "li":
                 number = _number(child, number + 1)
                 mark = f"{number}. " if element.name == "ol" else "- "
-                out.block(_lines(child), mark, " " * len(mark))
+                out.block((yield _lines(child)), mark, " " * len(mark))
             elif name in ("dd", "blockquote"):
-                out.block(_lines(child), "  ", "  ")
+                out.block((yield _lines(child)), "  ", "  ")
             else:
-                _walk(child, out, keep or name in ("pre", "textarea"))
+                yield _walk(child, out, keep or name in ("pre", "textarea"))
                 out.flush()
             out.gap |= name in SPACED and not (name in ("ul", "ol") and element.name == "li")
         else:
-            _walk(child, out, keep)
+            yield _walk(child, out, keep)
 
 
 def _number(item: Element, expected: int) -> int:
@@ -204,9 +222,10 @@ def _number(item: Element, expected: int) -> int:
     return int(value) if value.isascii() and value.isdigit() and len(value) < 10 else expected
 
 
-def _rows(element: Element, rest: list[Element | str]) -> Iterator[list[Element]]:
+def _rows(element: Element, rest: list[Element | str], holders: set[int]) -> Generator:
     """Rows of a table, not those of tables inside its cells; cells without a row make one. Rows and
     cells are also found inside other elements; whatever is in none of them goes to rest."""
+    rows: list[list[Element]] = []
     loose: list[Element] = []
     for child in element.children:
         if isinstance(child, str):
@@ -216,28 +235,28 @@ def _rows(element: Element, rest: list[Element | str]) -> Iterator[list[Element]
         elif child.name in ("td", "th"):
             loose.append(child)
         elif child.name == "tr":
-            row: list[Element] = []
-            for cells in _rows(child, rest):
-                row += cells
-            yield row
-        elif child.name in ("thead", "tbody", "tfoot") or child.name not in ("table", "caption") and _has_cells(child):
-            yield from _rows(child, rest)
+            rows.append([cell for cells in (yield _rows(child, rest, holders)) for cell in cells])
+        elif id(child) in holders:
+            rows += yield _rows(child, rest, holders)
         else:
             rest.append(child)
-    if loose:
-        yield loose
+    return [*rows, loose] if loose else rows
 
 
-def _has_cells(element: Element) -> bool:
-    """Whether rows or cells lie in the element, outside tables of its own."""
-    todo = [element]
+def _holders(table: Element) -> set[int]:
+    """Ids of the elements that rows or cells of the table lie in."""
+    todo, above, out = [table], {}, set()
     while todo:
-        for child in todo.pop().children:
-            if isinstance(child, Element) and child.name != "table" and child.seen():
-                if child.name in ("tr", "td", "th"):
-                    return True
-                todo.append(child)
-    return False
+        element = todo.pop()
+        for child in element.children:
+            if isinstance(child, Element) and child.name not in ("table", "caption") and child.seen():
+                above[id(child)] = at = id(element)
+                while child.name in ("tr", "td", "th") and at not in out:
+                    out.add(at)
+                    at = above.get(at, at)
+                if child.name not in ("td", "th"):
+                    todo.append(child)
+    return out
 
 
 def _span(cell: Element) -> int:
@@ -245,10 +264,15 @@ def _span(cell: Element) -> int:
     return min(max(int(value), 1), 100) if value.isascii() and value.isdigit() and len(value) < 6 else 1
 
 
-def _table(table: Element) -> list[str]:
+def _table(table: Element) -> Generator:
     """Rows with cells padded to their columns; a cell's lines are joined, so a row is a line."""
     rest = Element("div", {})  # what isn't part of a cell: captions and misplaced content
-    rows = [[(" ".join(filter(None, _lines(cell))), _span(cell)) for cell in row] for row in _rows(table, rest.children)]
+    rows = []
+    for cells in (yield _rows(table, rest.children, _holders(table))):
+        row = []
+        for cell in cells:
+            row.append((" ".join(filter(None, (yield _lines(cell)))), _span(cell)))
+        rows.append(row)
     widths: dict[int, int] = {}
     for row in rows:
         column = 0
@@ -256,7 +280,7 @@ def _table(table: Element) -> list[str]:
             if span == 1:
                 widths[column] = max(widths.get(column, 0), len(text))
             column += span
-    lines = _lines(rest)
+    lines = yield _lines(rest)
     for row in rows:
         line, column = [], 0
         for text, span in row:
@@ -273,7 +297,7 @@ def render(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
-    return "\n".join(_lines(builder.root))
+    return "\n".join(_run(_lines(builder.root)))
 
 
 def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:

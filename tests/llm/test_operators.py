@@ -172,6 +172,17 @@ def test_misplaced_content_of_tables_is_kept():
         assert html_text.render(page) == text, page
 
 
+def test_any_depth():
+    for tag in ("div", "b", "font", "span"):
+        deep = f"<{tag}>" * 20_000
+        assert html_text.render(f"{deep}a<script>var x</script><style>p</style><p hidden>no</p><i style='display:none'>no</i>") == "a"
+        assert html_text.render(f"{deep}<table><tr><td>a<td>b<tr><td>c</table>") == "a  b\nc"
+        assert html_text.render(f"<section hidden>{deep}x{f'</{tag}>' * 20_000}y</section>z") == "z"
+        assert html_text.render(f"<table><tr>{deep}<td>a</table>b") == "a\n\nb"
+    assert html_text.render("<table><tr><td>" * 3000 + "a") == "a"
+    assert html_text.render("<ul><li>" * 300 + "a") == "- " * 300 + "a"
+
+
 def test_pages(llm):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, None, "")]
     pages = llm.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as text")
