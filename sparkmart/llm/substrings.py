@@ -1,26 +1,28 @@
-"""Removal of repeated substrings, by blockwise suffix sorting with a difference cover.
+"""Removal of repeated substrings, by fingerprints at the positions of a difference cover.
 
 Every byte that lies in a string of LENGTH bytes which also starts anywhere else goes. Sorting all
-suffixes at once would shuffle a key for every byte. Instead:
+suffixes at once would shuffle a key for every byte. No suffix order is built here and no rank in one
+is computed, since only equality is asked; what is called a rank is a hash. Instead:
 
-1. Only the suffixes at positions of a difference cover modulo V (12 of 133) are ranked first. Any
+1. Only the suffixes at positions of a difference cover modulo V (12 of 133) are compared first. Any
    two equal strings have an offset below V at which both are in the cover, and there at least
    LENGTH - V + 1 bytes are equal still. So the cover suffixes are dealt to buckets by the hash of
-   that many bytes and each bucket is sorted on its own. A suffix that is alone rules out all
+   that many bytes and equal hashes are grouped, each bucket on its own. A suffix that is alone rules out all
    strings around it but those of its other cover positions.
-2. In the same sort, long ties are resolved by a rank: the hash of the whole context, V - 1 bytes
+2. In the same pass, long ties are resolved by a rank: the hash of the whole context, V - 1 bytes
    before and LENGTH bytes from the position. Where that is repeated, all strings that reach the
    position from before are repeated, and no longer key of theirs is ever sorted. In long copies
    that settles all but the edges.
 3. Strings around cover suffixes that aren't alone and whose rank is, and one representative of
    each repeated rank among the same suffixes, are dealt to buckets by the hash of all LENGTH bytes
-   and sorted the same way, one bucket at a time.
+   and grouped the same way, one bucket at a time.
 
 Only equality matters here, so buckets are ranges of a hash, not of bytes: no text can make them
 uneven but its own repeats, and those are counted once a block. Texts are written once as blocks in
 a table bucketed by the task that wrote them; later passes read it without a shuffle, and the
 answers (a few bits a key, packed by bucket) come back to it. Keys are 64-bit hashes (rank and
-suffix together 87 bits and more).
+suffix together 87 bits and more, a string 63), and bytes aren't compared: different strings with an
+equal key would be taken for a repeat.
 
 Defined results: null and empty texts have nothing to remove; texts shorter than LENGTH neither.
 Repeated rows are copies of each other and are removed whole if long enough. An empty table gives
