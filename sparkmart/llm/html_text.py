@@ -224,8 +224,9 @@ def _number(item: Element, expected: int) -> int:
 
 def _rows(element: Element, rest: list[Element | str], holders: set[int]) -> Generator:
     """Rows of a table, not those of tables inside its cells; cells without a row make one. Rows and
-    cells are also found inside other elements; whatever is in none of them goes to rest."""
-    rows: list[list[Element]] = []
+    cells are also found inside other elements; whatever is in none of them goes to rest. None stands
+    before and after a row group, where cells that span rows end."""
+    rows: list[list[Element] | None] = []
     loose: list[Element] = []
     for child in element.children:
         if isinstance(child, str):
@@ -235,7 +236,9 @@ def _rows(element: Element, rest: list[Element | str], holders: set[int]) -> Gen
         elif child.name in ("td", "th"):
             loose.append(child)
         elif child.name == "tr":
-            rows.append([cell for cells in (yield _rows(child, rest, holders)) for cell in cells])
+            rows.append([cell for cells in (yield _rows(child, rest, holders)) for cell in cells or ()])
+        elif id(child) in holders and child.name in ("thead", "tbody", "tfoot"):
+            rows += [None, *(yield _rows(child, rest, holders)), None]
         elif id(child) in holders:
             rows += yield _rows(child, rest, holders)
         else:
@@ -259,34 +262,42 @@ def _holders(table: Element) -> set[int]:
     return out
 
 
-def _span(cell: Element) -> int:
-    value = (cell.attributes.get("colspan") or "1").strip()
-    return min(max(int(value), 1), 100) if value.isascii() and value.isdigit() and len(value) < 6 else 1
+def _span(cell: Element, name: str, least: int, most: int) -> int:
+    value = (cell.attributes.get(name) or "1").strip()
+    return min(max(int(value), least), most) if value.isascii() and value.isdigit() and len(value) < 6 else 1
 
 
 def _table(table: Element) -> Generator:
     """Rows with cells padded to their columns; a cell's lines are joined, so a row is a line."""
     rest = Element("div", {})  # what isn't part of a cell: captions and misplaced content
-    rows = []
+    rows: list[list[tuple[int, str, int]]] = []
+    taken: dict[int, tuple[int, int]] = {}  # columns of cells from above: the row and the column that they end before
     for cells in (yield _rows(table, rest.children, _holders(table))):
-        row = []
+        if cells is None:
+            taken = {}
+            continue
+        row, column = [], 0
         for cell in cells:
-            row.append((" ".join(filter(None, (yield _lines(cell)))), _span(cell)))
+            while (cell_above := taken.get(column, (0, 0)))[0] > len(rows):
+                column = cell_above[1]
+            span, down = _span(cell, "colspan", 1, 1000), _span(cell, "rowspan", 0, 65534) or 1 << 40  # 0: the rest of the group
+            row.append((column, " ".join(filter(None, (yield _lines(cell)))), span))
+            column += span
+            if down > 1:
+                taken |= dict.fromkeys(range(column - span, column), (len(rows) + down, column))
         rows.append(row)
     widths: dict[int, int] = {}
     for row in rows:
-        column = 0
-        for text, span in row:
+        for column, text, span in row:
             if span == 1:
                 widths[column] = max(widths.get(column, 0), len(text))
-            column += span
     lines = yield _lines(rest)
     for row in rows:
-        line, column = [], 0
-        for text, span in row:
-            width = sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)
-            line.append(text.ljust(width))
-            column += span
+        line, at = [], 0
+        for column, text, span in row:
+            line += [" " * widths.get(c, 0) for c in range(at, column)]
+            at = column + span
+            line.append(text.ljust(sum(widths.get(c, 0) for c in range(column, at)) + 2 * (span - 1)))
         lines.append("  ".join(line).rstrip())
     return [x for x in lines if x]
 

@@ -172,6 +172,15 @@ def test_misplaced_content_of_tables_is_kept():
         assert html_text.render(page) == text, page
 
 
+def test_cells_that_span():
+    assert html_text.render("<table><tr><td rowspan=2>ab<td>c<td>d<tr><td>e<td>f<tr><td>g</table>") == "ab  c  d\n    e  f\ng"
+    assert html_text.render("<table><tr><td>a<td rowspan=3 colspan=2>b<td>c<tr><td>d<td>e</table>") == "a  b   c\nd      e"
+    grouped = "<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c</tbody><tbody><tr><td>d<td>e</table>"
+    assert html_text.render(grouped) == "a  b\n   c\nd  e"
+    wide = "<table><tr><td colspan=999>a<td>x<tr>" + "<td>b" * 999 + "<td>y</table>"
+    assert [x.index(c) for x, c in zip(html_text.render(wide).split("\n"), "xy")] == [2997, 2997]
+
+
 def test_any_depth():
     for tag in ("div", "b", "font", "span"):
         deep = f"<{tag}>" * 20_000
