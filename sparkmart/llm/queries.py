@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, host_rules, html_text, neardup, quality, shards, substrings, token_files, toxicity
+from . import bpe, decontaminate, host_rules, html_text, manifest, neardup, quality, shards, spelling, substrings, token_files, toxicity, warc
 from .work import Work, reachable, table
 
 SHARDS = 16
@@ -74,6 +74,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
 SQL_3 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -168,6 +180,93 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coa
 FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
 """
 
+#: The table of the CRC-32 checksum, one entry for each byte.
+SQL_CRC = r"""crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+)"""
+
+SQL_11 = r"""
+WITH RECURSIVE """ + SQL_CRC + r""", fields AS (
+  SELECT doc_id, lang, n_chars, [doc_id::VARCHAR, source, lang, n_chars::VARCHAR, text] AS f,
+    [doc_id::VARCHAR, source, lang, (n_chars + 1)::VARCHAR, text] AS g,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d))),
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM documents, crc
+), leaves AS (
+  SELECT *, sha256(array_to_string(list_transform(f, lambda v: coalesce(strlen(v) || ':' || v, '-')), '')) AS leaf,
+    sha256(array_to_string(list_transform(g, lambda v: coalesce(strlen(v) || ':' || v, '-')), '')) AS other FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), nodes(lang, level, pos, n, d) AS (
+  SELECT lang, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT lang, any_value(level) + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(d, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY lang, pos // 2
+), subs AS (
+  SELECT lang, d, level, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops(level, pos, n, d) AS (
+  SELECT 0, pos, n, d FROM subs
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(d, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY pos // 2
+), walk(lang, leaf_pos, level, pos, height, cur, proof) AS (
+  SELECT p.lang, p.pos, 0, p.pos, s.level, CASE WHEN h % 7 = 0 AND n_chars IS NOT NULL THEN other ELSE leaf END, ''
+  FROM placed p JOIN subs s ON s.lang IS NOT DISTINCT FROM p.lang
+  UNION ALL
+  SELECT w.lang, leaf_pos, w.level + 1, w.pos // 2, height,
+    sha256(CASE WHEN w.pos % 2 = 0 THEN cur || coalesce(o.d, '') ELSE coalesce(o.d, '') || cur END), proof || coalesce(o.d, '')
+  FROM walk w LEFT JOIN nodes o ON o.lang IS NOT DISTINCT FROM w.lang AND o.level = w.level AND o.pos = xor(w.pos, 1) WHERE w.level < height
+), up(lang, leaf_pos, level, pos, height, cur, proof) AS (
+  SELECT w.lang, leaf_pos, 0, s.pos, (SELECT max(level) FROM tops), cur, proof FROM walk w JOIN subs s ON s.lang IS NOT DISTINCT FROM w.lang WHERE w.level = height
+  UNION ALL
+  SELECT u.lang, leaf_pos, u.level + 1, u.pos // 2, height,
+    sha256(CASE WHEN u.pos % 2 = 0 THEN cur || coalesce(o.d, '') ELSE coalesce(o.d, '') || cur END), proof || coalesce(o.d, '')
+  FROM up u LEFT JOIN tops o ON o.level = u.level AND o.pos = xor(u.pos, 1) WHERE u.level < height
+)
+SELECT doc_id, leaf, s.d AS subroot, (SELECT d FROM tops WHERE n = 1) AS root, sha256(proof) AS proof_sha256, cur AS folded_root,
+  cur = (SELECT d FROM tops WHERE n = 1) AS verified
+FROM placed p JOIN up u ON u.lang IS NOT DISTINCT FROM p.lang AND u.leaf_pos = p.pos JOIN subs s ON s.lang IS NOT DISTINCT FROM p.lang
+WHERE u.level = height
+"""
+
+SQL_12 = r"""
+WITH """ + SQL_CRC + r""", runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]{7,}')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), found AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs GROUP BY doc_id, run
+), bytes AS (
+  SELECT run, n, list_transform(range(len(h) // 2), lambda i: 16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1) AS b FROM found
+), sums AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, crc
+), cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, n FROM sums
+), words AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), less AS (
+  SELECT word, i, substr(word, 1, i) AS a, substr(word, i + 2) AS z FROM (SELECT word, unnest(range(len(word))) AS i FROM words)
+), pairs AS (
+  SELECT x.word AS v, y.word AS w FROM less x JOIN less y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT x.word, y.word FROM less x JOIN words y ON x.a || x.z = y.word
+  UNION SELECT y.word, x.word FROM less x JOIN words y ON x.a || x.z = y.word
+), best AS (
+  SELECT v, count(*) AS n_near, first(w ORDER BY n DESC, w) AS near, max(n) AS near_n FROM pairs JOIN words ON word = w GROUP BY v
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best ON v = word
+), steps AS (
+  WITH RECURSIVE s(word, root, turn) AS (
+    SELECT word, word, 0 FROM words UNION ALL SELECT s.word, f.form, s.turn + 1 FROM s JOIN forms f ON f.word = s.root WHERE f.form IS NOT NULL)
+  SELECT word, max_by(root, turn) AS root FROM s GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN steps USING (word)
+"""
+
+SQL_13 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id THEN first END AS refers_to FROM d
+"""
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_quality_classifier": LlmQuery(op1_quality_classifier),
     "op2_html_text": LlmQuery(op2_html_text),
@@ -179,4 +278,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_sharding": LlmQuery(op8_sharding),
     "op9_toxicity": LlmQuery(op9_toxicity),
     "op10_bpe": LlmQuery(op10_bpe),
+    "op11_merkle_manifest": LlmQuery(op11_merkle_manifest, SQL_11),
+    "op12_spelling_variants": LlmQuery(op12_spelling_variants, SQL_12),
+    "op13_warc": LlmQuery(op13_warc, SQL_13),
 }

@@ -20,10 +20,10 @@ def test_query_equals_sql(llm, sf_dir, name):
     assert differences(QUERIES[name].run(llm, sf_dir), connect(sf_dir), QUERIES[name].sql) is None
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op12_spelling_variants"}))  # its rows are words
 def test_query_returns_every_row(llm, sf_dir, name):
     rows = QUERIES[name].run(llm, sf_dir)
-    assert rows.count() == table(llm, sf_dir, "pages" if name.startswith("op2_") else "documents").count()
+    assert rows.count() == table(llm, sf_dir, "pages" if name.startswith(("op2_", "op13_")) else "documents").count()
     assert len(rows.columns) == len(set(rows.columns))
 
 
