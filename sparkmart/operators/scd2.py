@@ -12,7 +12,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
 
 from ..functions import instant
 from ..sources.files import Files
@@ -21,6 +20,8 @@ from ..sources.files import Files
 SCD_ID, UPDATED_AT = "dbt_scd_id", "dbt_updated_at"
 VALID_FROM, VALID_TO, DELETED = "dbt_valid_from", "dbt_valid_to", "dbt_is_deleted"
 YES, NO = "True", "False"
+# Columns of the storage: the run that opened a version, and whether it is open.
+OPENED, IS_OPEN = "_opened_run", "_is_open"
 _ADDED = (SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO, DELETED)
 _EMPTY = f"{SCD_ID} string, {UPDATED_AT} timestamp, {VALID_FROM} timestamp, {VALID_TO} timestamp, {DELETED} string"
 
@@ -64,68 +65,71 @@ def checked(source: DataFrame, key: str) -> DataFrame:
     return source.withColumn("_rows", rows).where(stop).drop("_rows")
 
 
-def first_versions(source: DataFrame, key: str, updated_at: str) -> DataFrame:
-    """History after the first run: one open version per row."""
-    row = checked(source, key).select(F.struct("*").alias("new"))
-    at = F.col(f"new.{updated_at}")
-    none = F.lit(None).cast("timestamp")
-    return row.select(_version("new", source.columns, key, at, at, none, NO).alias("v")).select("v.*")
-
-
-def next_versions(
-    open_versions: DataFrame, source: DataFrame, key: str, updated_at: str, run_time: datetime
+def changes(
+    open_versions: DataFrame | None, source: DataFrame, key: str, updated_at: str, run_time: datetime, run: int
 ) -> DataFrame:
-    """Open versions after a run, plus the versions that the run closed.
+    """What a run changes: the versions that it closes, as they end, and those that it opens.
 
-    One full outer join on the key; each pair yields one or two versions.
+    One full outer join on the key; a pair gives no row, one or two. ``open_versions`` is None in the
+    first run. Rows carry the run that opened the version, which with the key names a version.
     """
-    types = {f.name: f.dataType for f in open_versions.schema if f.name not in _ADDED}
-    types |= {f.name: f.dataType for f in source.schema}
-    columns = list(types)
-
-    def padded(df: DataFrame) -> list[Column]:
-        have = set(df.columns)
-        return [
-            (F.col(f"`{c}`") if c in have else F.lit(None)).cast(types[c]).alias(c) for c in columns
-        ]
-
-    old_rows = open_versions.select(
-        F.col(key).alias("_old_key"), F.struct(*padded(open_versions), *_ADDED).alias("old")
-    )
-    new_rows = checked(source, key).select(F.col(key).alias("_new_key"), F.struct(*padded(source)).alias("new"))
-    pairs = old_rows.join(new_rows, F.col("_old_key") == F.col("_new_key"), "full")
     none = F.lit(None).cast("timestamp")
-    now = instant(run_time)
     at = F.col(f"new.{updated_at}")
-    started = F.col(f"old.{VALID_FROM}")
-    was_deleted = F.col(f"old.{DELETED}") == YES
-    # A row restored with its old update time starts at the run time.
-    back_at = F.when(at > started, at).otherwise(now)
-
-    new = _version("new", columns, key, at, at, none, NO)
-    restored = _version("new", columns, key, back_at, back_at, none, NO)
-    gone = _version("old", columns, key, now, now, none, YES)
-    versions = (
-        F.when(F.col("old").isNull(), F.array(new))
-        .when(F.col("new").isNull() & was_deleted, F.array(_stored(columns, none)))
-        .when(F.col("new").isNull(), F.array(_stored(columns, now), gone))
-        .when(was_deleted, F.array(_stored(columns, back_at), restored))
-        .when(at > started, F.array(_stored(columns, at), new))
-        .otherwise(F.array(_stored(columns, none)))
+    if open_versions is None:
+        row = checked(source, key).select(F.struct("*").alias("new"))
+        versions = F.array(_version("new", source.columns, key, at, at, none, NO))
+        old_run = F.lit(None)
+    else:
+        types = {f.name: f.dataType for f in open_versions.schema if f.name not in (*_ADDED, OPENED)}
+        types |= {f.name: f.dataType for f in source.schema}
+        columns = list(types)
+
+        def padded(df: DataFrame) -> list[Column]:
+            have = set(df.columns)
+            return [
+                (F.col(f"`{c}`") if c in have else F.lit(None)).cast(types[c]).alias(c) for c in columns
+            ]
+
+        old_rows = open_versions.select(
+            F.col(key).alias("_old_key"), OPENED, F.struct(*padded(open_versions), *_ADDED).alias("old")
+        )
+        new_rows = checked(source, key).select(F.col(key).alias("_new_key"), F.struct(*padded(source)).alias("new"))
+        row = old_rows.join(new_rows, F.col("_old_key") == F.col("_new_key"), "full")
+        now = instant(run_time)
+        started = F.col(f"old.{VALID_FROM}")
+        was_deleted = F.col(f"old.{DELETED}") == YES
+        # A row restored with its old update time starts at the run time.
+        back_at = F.when(at > started, at).otherwise(now)
+
+        new = _version("new", columns, key, at, at, none, NO)
+        restored = _version("new", columns, key, back_at, back_at, none, NO)
+        gone = _version("old", columns, key, now, now, none, YES)
+        versions = (
+            F.when(F.col("old").isNull(), F.array(new))
+            .when(F.col("new").isNull() & ~was_deleted, F.array(_stored(columns, now), gone))
+            .when(F.col("new").isNotNull() & was_deleted, F.array(_stored(columns, back_at), restored))
+            .when(F.col("new").isNotNull() & (at > started), F.array(_stored(columns, at), new))
+        )
+        old_run = F.col(OPENED)
+    is_open = F.col(f"v.{VALID_TO}").isNull()
+    return row.select(old_run.alias("_old_run"), F.explode(versions).alias("v")).select(
+        "v.*",
+        F.when(is_open, F.lit(run)).otherwise(F.col("_old_run")).cast("long").alias(OPENED),
+        is_open.alias(IS_OPEN),
     )
-    return pairs.select(F.explode(versions).alias("v")).select("v.*")
 
 
 class History:
-    """A type-2 history on shared storage, one folder per run.
-
-    A run writes its open versions and the versions it closed; earlier folders
-    are never touched. A folder counts once its success marker exists, so a
-    failed run is invisible and its retry replaces it.
+    """A type-2 history on shared storage, as the changes of every run.
+
+    ``run=N`` holds the versions that run N closed and opened; a version is open while no later run
+    has closed it. ``compact`` gathers runs, so that readers don't have to match ever more of them:
+    ``closed=M-N`` has the versions closed after run M, up to which runs were gathered before, and
+    ``open=N`` those open after run N. Nothing that is written is touched again. A folder counts once
+    Spark's success marker exists, a compaction's with that of ``open=N``, its last one; so what a
+    failed run wrote is invisible and its retry replaces it.
     """
 
-    _OPEN = "is_open"
-
     def __init__(self, spark: SparkSession, path: str, key: str, updated_at: str):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -133,54 +137,92 @@ class History:
         self.updated_at = updated_at
         self._files = Files(spark)
 
-    def runs(self) -> list[int]:
-        names = [n for n in self._files.folders(self.path) if n.startswith("run=")]
+    def _done(self, kind: str) -> list[str]:
+        names = [n for n in self._files.folders(self.path) if n.startswith(f"{kind}=")]
         done = [n for n in names if self._files.exists(f"{self.path}/{n}/_SUCCESS")]
-        return sorted(int(n.removeprefix("run=")) for n in done)
+        return [n.partition("=")[2] for n in done]
+
+    def runs(self) -> list[int]:
+        """Runs whose changes are still stored one by one, and compacted ones that aren't dropped."""
+        return sorted(map(int, self._done("run")))
+
+    def _bases(self) -> list[int]:
+        return sorted(map(int, self._done("open")))
+
+    def _since(self) -> tuple[int, list[int]]:
+        """The last compacted run, 0 for none, and the runs after it."""
+        base = max(self._bases(), default=0)
+        return base, [r for r in self.runs() if r > base]
 
     def snapshot(self, source: DataFrame, run_time: datetime) -> None:
-        """Record the source as of ``run_time``."""
-        runs = self.runs()
-        if runs:
-            current = self._read(runs[-1:]).where(F.col(self._OPEN) == 1).drop(self._OPEN, "run")
-            rows = next_versions(current, source, self.key, self.updated_at, run_time)
-        else:
-            rows = first_versions(source, self.key, self.updated_at)
+        """Record the source as of ``run_time``: only rows that changed are written."""
+        base, tail = self._since()
+        run = max([base, *tail]) + 1
+        current = self._current() if run > 1 else None
+        rows = changes(current, source, self.key, self.updated_at, run_time, run)
+        self._write(rows, f"run={run}")
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
         (
-            rows.withColumn(self._OPEN, F.col(VALID_TO).isNull().cast("int"))
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy(self._OPEN)
-            .parquet(f"{self.path}/run={(runs[-1] if runs else 0) + 1}")
+            .parquet(f"{self.path}/{folder}")
         )
 
-    def _read(self, runs: list[int]) -> DataFrame:
+    def _read(self, folders: list[str]) -> DataFrame:
         # The newest run has the widest schema; older ones fill up with nulls.
-        newest = self.spark.read.parquet(f"{self.path}/run={runs[-1]}").schema
-        return (
-            self.spark.read.schema(StructType([*newest]).add("run", IntegerType()))
-            .option("basePath", self.path)
-            .parquet(*[f"{self.path}/run={r}" for r in runs])
-        )
-
-    def drop_superseded(self, keep: int = 2) -> None:
-        """Delete the open versions of all but the last ``keep`` runs.
-
-        Every run writes them anew and readers only use the last ones, so without
-        this the folder grows by one copy of the table per run. Closed versions
-        stay.
-        """
-        for run in self.runs()[:-keep]:
-            self._files.delete(f"{self.path}/run={run}/{self._OPEN}=1")
+        base, tail = self._since()
+        newest = f"run={tail[-1]}" if tail else f"open={base}"
+        schema = self.spark.read.parquet(f"{self.path}/{newest}").schema
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def _current(self) -> DataFrame:
+        """The open versions: those opened and not closed since."""
+        base, tail = self._since()
+        folders = [f"open={base}"] * bool(base) + [f"run={r}" for r in tail]
+        opened = self._read(folders).where(F.col(IS_OPEN)).drop(IS_OPEN)
+        if not tail:
+            return opened
+        closed = self._read([f"run={r}" for r in tail]).where(~F.col(IS_OPEN)).select(self.key, OPENED)
+        return opened.join(closed, [self.key, OPENED], "left_anti")
+
+    def compact(self, after_runs: int = 16) -> bool:
+        """Gather the runs since the last compaction once there are so many of them.
+
+        Open versions are written anew then, and only then; closed ones once in all."""
+        base, tail = self._since()
+        if len(tail) < max(1, after_runs):
+            return False
+        closed = self._read([f"run={r}" for r in tail]).where(~F.col(IS_OPEN))
+        self._write(closed, f"closed={base}-{tail[-1]}")
+        self._write(self._current().withColumn(IS_OPEN, F.lit(True)), f"open={tail[-1]}")
+        return True
+
+    def drop_superseded(self) -> None:
+        """Delete what a compaction has gathered: its runs, and the open versions of earlier ones."""
+        bases = self._bases()
+        for run in self.runs():
+            if bases and run <= bases[-1]:
+                self._files.delete(f"{self.path}/run={run}")
+        for base in bases[:-1]:
+            self._files.delete(f"{self.path}/open={base}")
+
+    def _gathered(self, base: int) -> list[str]:
+        """The folders of closed versions up to a compaction, each named after the one before it."""
+        before = {int(name.partition("-")[2]): name for name in self._done("closed")}
+        folders = []
+        while base:
+            folders.append(f"closed={before[base]}")
+            base = int(before[base].partition("-")[0])
+        return folders
 
     def versions(self) -> DataFrame:
         """Every version, open and closed; none before the first run."""
-        runs = self.runs()
-        if not runs:
+        base, tail = self._since()
+        if not base and not tail:
             return self.spark.createDataFrame([], _EMPTY)
-        rows = self._read(runs)
-        kept = (F.col(self._OPEN) == 0) | (F.col("run") == runs[-1])
-        return rows.where(kept).drop("run", self._OPEN)
+        closed = self._read([*self._gathered(base), *[f"run={r}" for r in tail]]).where(~F.col(IS_OPEN))
+        return closed.drop(OPENED, IS_OPEN).unionByName(self._current().drop(OPENED))
 
 
 def as_of(versions: DataFrame, moment: datetime) -> DataFrame:

@@ -234,7 +234,8 @@ def run(spark: SparkSession, settings: Settings) -> Tables:
         spark, settings.table_path("snapshots", "meta_campaigns"), "id", "updated_time"
     )
     history.snapshot(raw("facebook_marketing", "campaigns"), settings.run_time)
-    history.drop_superseded()
+    if history.compact():
+        history.drop_superseded()
 
     tables = Tables(
         raw,

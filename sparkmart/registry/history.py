@@ -109,11 +109,13 @@ def source_states(orders: DataFrame) -> list[DataFrame]:
     ]
 
 
-def recorded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """All versions after three runs, and the last source state."""
+def recorded(spark: SparkSession, sf: str, compacted: bool = False) -> tuple[DataFrame, DataFrame]:
+    """All versions after three runs, gathered after each of the first two or never, and the last source state."""
     states = source_states(star(spark, sf, "orders"))
     history = History(spark, shared_dir(spark), "id", "updated_time")
     for state, run_time in zip(states, RUNS):
+        if compacted and history.compact(after_runs=1):
+            history.drop_superseded()
         history.snapshot(state, run_time)
     return history.versions(), states[-1]
 
@@ -193,10 +195,20 @@ def _refreshed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ordered(spark: SparkSession, sf: str) -> DataFrame:
-    """Versions in order, with their place: rows without an end come last within a key."""
-    versions = in_order(recorded(spark, sf)[0], "id").drop(*_INTERNAL)
-    place = Window.partitionBy("id").orderBy(F.col("dbt_valid_to").asc_nulls_last())
-    return versions.select("id", "dbt_valid_from", F.row_number().over(place).cast("bigint").alias("place"))
+    """Versions in order, with the place in which the sort left them.
+
+    The sorted rows are written; their place is that in their task plus the rows of earlier tasks,
+    one count each. Nothing but the order of the rows decides it.
+    """
+    versions = in_order(recorded(spark, sf)[0], "id")
+    path = f"{shared_dir(spark)}/ordered"
+    versions.select("id", "dbt_valid_from", F.monotonically_increasing_id().alias("at")).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("part", F.shiftright("at", 33))
+    counts = rows.groupBy("part").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    place = F.col("before") + F.col("at") - F.col("first") + 1
+    return rows.join(counts, "part").select("id", "dbt_valid_from", place.cast("bigint").alias("place"))
 
 
 def _scanned(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,8 +237,7 @@ QUERIES: dict[str, Query] = {
     ),
     "scd2_ordered": query(
         _ordered,
-        f"""{HISTORY_BASE} SELECT id, dbt_valid_from,
-                row_number() OVER (PARTITION BY id ORDER BY dbt_valid_to NULLS LAST) AS place
+        f"""{HISTORY_BASE} SELECT id, dbt_valid_from, row_number() OVER (ORDER BY id, dbt_valid_from) AS place
             FROM ({HISTORY_SHOWN})""",
     ),
     "declared_scan": query(
@@ -243,6 +254,10 @@ QUERIES: dict[str, Query] = {
         lambda spark, sf: _daily(spark, sf, ["event_id", "event_date"]),
         _daily_sql(f"event_type = 'error' AND cast(ts AS date) <= DATE '{FIRST_LOAD_TO}'"),
     ),
+    "scd2_compacted": query(
+        lambda spark, sf: recorded(spark, sf, compacted=True)[0].drop(*_INTERNAL),
+        f"{HISTORY_BASE} {HISTORY_SHOWN}",
+    ),
     "scd2_history": query(_history, f"{HISTORY_BASE} {HISTORY_SHOWN}"),
     "scd2_as_of": query(
         _as_of,

@@ -300,16 +300,68 @@ def test_a_table_survives_a_failed_or_lost_write(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(path).count() == 4
 
 
-def test_superseded_open_versions_can_be_dropped(spark, tmp_path):
+def folders(path):
+    return sorted(p.name for p in path.iterdir() if p.is_dir())
+
+
+def test_a_run_writes_only_what_changed(spark, tmp_path):
+    h = History(spark, f"file://{tmp_path}/h", "id", "updated_time")
+    source = spark.range(1000).selectExpr("id", "cast('2026-01-01' AS timestamp) AS updated_time", "0 AS v")
+    h.snapshot(source, RUN1)
+    for run in range(1, 10):
+        moved = (F.col("id") == run) | (F.col("id") == 0)
+        at = F.lit(T1 + timedelta(days=run))
+        source = source.withColumn("updated_time", F.when(moved, at).otherwise(F.col("updated_time"))).checkpoint()
+        h.snapshot(source, RUN2 + timedelta(days=run))
+    stored = [spark.read.parquet(f"{tmp_path}/h/run={r}") for r in range(1, 11)]
+    assert [df.count() for df in stored] == [1000] + [4] * 9
+    assert all(df.where("_is_open").count() == 2 for df in stored[1:])
+    h.snapshot(source, RUN3)  # nothing moved
+    assert spark.read.parquet(f"{tmp_path}/h/run=11").count() == 0
+    versions = h.versions()
+    assert versions.count() == 1000 + 18 and versions.where("dbt_valid_to IS NULL").count() == 1000
+    assert as_of(versions, T1 + timedelta(days=3, hours=1)).where("id IN (0, 3)").selectExpr("date_format(updated_time, 'd')").distinct().collect()[0][0] == "4"
+
+
+@pytest.mark.parametrize("drop", [True, False])
+def test_compacted_history_is_the_same(spark, tmp_path, drop):
+    plain, compacted = (History(spark, f"file://{tmp_path}/{n}", "id", "updated_time") for n in ("p", "c"))
+    states = [
+        campaigns(),
+        campaigns(A=(1, "A", "ACTIVE", 900, T1), E=None),
+        campaigns(A=(1, "A", "ACTIVE", 900, T1), E=None),
+        campaigns(A=(1, "A", "ACTIVE", 1, T2), E=(5, "E", "ACTIVE", 50, T0), B=None),
+    ]
+    for i, rows in enumerate(states):
+        df = spark.createDataFrame(rows, SCHEMA)
+        if i == 3:
+            df = df.withColumn("goal", F.lit("x"))
+        for h in (plain, compacted):
+            h.snapshot(df, RUN2 + timedelta(days=i))
+        assert compacted.compact(after_runs=2) == (i in (1, 3)) and not compacted.compact(after_runs=2)
+        if drop:
+            compacted.drop_superseded()
+        shown = [sorted(map(str, h.versions().collect())) for h in (plain, compacted)]
+        assert shown[0] == shown[1]
+        moment = RUN2 + timedelta(days=i, hours=-1)
+        assert as_of(plain.versions(), moment).count() == as_of(compacted.versions(), moment).count()
+    want = ["closed=0-2", "closed=2-4", "open=4"]
+    assert folders(tmp_path / "c") == (want if drop else sorted([*want, "open=2", *[f"run={r}" for r in range(1, 5)]]))
+
+
+def test_a_compaction_that_broke_off_is_invisible(spark, tmp_path):
     h = History(spark, f"file://{tmp_path}/h", "id", "updated_time")
     h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), RUN1)
-    changed = spark.createDataFrame(campaigns(A=(1, "A", "ACTIVE", 900, T1), E=None), SCHEMA)
-    for hours in range(3):
-        h.snapshot(changed, RUN2 + timedelta(hours=hours))
-    before = sorted(map(tuple, h.versions().collect()), key=str)
-    h.drop_superseded(keep=1)
-    assert sorted(map(tuple, h.versions().collect()), key=str) == before
-    left = sorted(p.parent.name for p in (tmp_path / "h").glob("run=*/is_open=1"))
-    assert left == ["run=4"] and h.runs() == [1, 2, 3, 4]
-    h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), RUN3)  # E comes back
-    assert h.versions().where("name = 'E' AND dbt_valid_to IS NULL").count() == 1
+    h.snapshot(spark.createDataFrame(campaigns(A=(1, "A", "ACTIVE", 900, T1)), SCHEMA), RUN2)
+    before = sorted(map(str, h.versions().collect()))
+    h.compact(after_runs=1)
+    (tmp_path / "h" / "open=2" / "_SUCCESS").unlink()
+    h.drop_superseded()
+    assert h.runs() == [1, 2] and sorted(map(str, h.versions().collect())) == before
+    h.snapshot(spark.createDataFrame(campaigns(A=(1, "A", "ACTIVE", 900, T1), U=None), SCHEMA), RUN3)
+    before = sorted(map(str, h.versions().collect()))
+    assert h.compact(after_runs=1)  # closed=0-2 stays behind and doesn't count
+    h.drop_superseded()
+    assert h.runs() == [] and sorted(map(str, h.versions().collect())) == before
+    h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), RUN3 + timedelta(days=9))
+    assert h.runs() == [4] and h.versions().where("name = 'U' AND dbt_valid_to IS NULL").count() == 1
