@@ -39,6 +39,8 @@ class Settings:
     spend_tolerance: float = 0.01
     full_refresh: bool = False
     run_checks: bool = True
+    # put before the names of the catalog's schemas, for several warehouses in one catalog
+    schema_prefix: str = ""
     run_time: datetime = field(default_factory=_now)
 
     def source_path(self, system: str, table: str) -> str:

@@ -12,7 +12,6 @@ New columns are appended to the table's schema; rows written before hold nulls.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
@@ -20,11 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..config import shared_dir
 from ..sources.files import Files
 
-# Fixed value: the folder of rows without a day.
-_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
-
 Batch = Callable[[date | None], DataFrame]
 
 
@@ -36,10 +33,13 @@ def since(day, first_day: date | None):
 class DayTable:
     """A day-partitioned table on shared storage.
 
-    A load first writes its result to a staging folder beside the table and then
-    leaves a note naming it. Only then are the day partitions overwritten. A run
-    that finds the note repeats the overwrite, so a crash in between loses
-    nothing; staging folders without a note are dropped.
+    Spark's dynamic partition overwrite puts a batch in place, a static one a full
+    refresh. Neither touches the table before all of its rows are written, but one
+    that is lost while it commits can leave some days old, new or missing. So the
+    lookback counts from the last day of the last load that finished: the next
+    load reaches back at least as far as the lost one and makes all its days anew.
+    A load by key also needs the stored rows that the source has dropped; it keeps
+    its merged rows, and after a lost load the next one merges with those.
     """
 
     def __init__(
@@ -52,9 +52,7 @@ class DayTable:
         if self.keys and day not in self.keys:
             raise ValueError(f"keys must hold the day column {day}: a row that moves to another day would stay in both")
         self._files = Files(spark)
-        self._load = f"{self.path}.load"
-        self._note = f"{self._load}/pending"
-        self._schema_file = f"{self.path}/_columns"
+        self._state_file = f"{self.path}.state"
 
     def days(self) -> list[date]:
         """Stored days, from the folder names; no file is opened."""
@@ -62,9 +60,19 @@ class DayTable:
         names = [n[len(prefix) :] for n in self._files.folders(self.path) if n.startswith(prefix)]
         return sorted(date.fromisoformat(n) for n in names if n[:1].isdigit())
 
+    def _state(self) -> dict:
+        """columns, the last day that a finished load left, the merged rows of a load that didn't finish."""
+        text = self._files.read_text(self._state_file)
+        return json.loads(text) if text else {"columns": None, "loaded_to": None, "merged": None}
+
+    def _save(self, columns: StructType, loaded_to: str | None, merged: str | None = None) -> None:
+        nullable = StructType([StructField(f.name, f.dataType, True) for f in columns])
+        state = {"columns": nullable.json(), "loaded_to": loaded_to, "merged": merged}
+        self._files.write_text(self._state_file, json.dumps(state))
+
     def schema(self) -> StructType | None:
-        text = self._files.read_text(self._schema_file)
-        return StructType.fromJson(json.loads(text)) if text else None
+        columns = self._state()["columns"]
+        return StructType.fromJson(json.loads(columns)) if columns else None
 
     def read(self) -> DataFrame:
         """The whole table in its current schema; absent columns are null."""
@@ -76,68 +84,56 @@ class DayTable:
         ``batch`` gets that day and returns the source rows from it on. An empty
         table counts as a first run.
         """
-        self._finish_pending()
-        for name in self._files.folders(self._load):  # of runs that broke off before their note
-            self._files.delete(f"{self._load}/{name}")
-        stored = self.days()
-        if full_refresh or not stored:
+        loaded_to = self._state()["loaded_to"]
+        if full_refresh or loaded_to is None:
             self._rebuild(batch(None))
             return None
-        first_day = stored[-1] - timedelta(days=lookback_days)
+        first_day = date.fromisoformat(loaded_to) - timedelta(days=lookback_days)
         self._reload(batch(first_day), first_day)
         return first_day
 
     def _rebuild(self, rows: DataFrame) -> None:
-        staging = f"{self._load}/staging-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{staging}/batch")
-        self._commit(staging, rows.schema, every_day=True)
+        # A static overwrite drops the old rows first, so the new ones are made before it.
+        rows = self._written(rows, f"{shared_dir(self.spark)}/batch")
+        self._save(rows.schema, None)
+        self._write(rows, "static")
+        self._finish(rows.schema)
 
     def _reload(self, rows: DataFrame, first_day: date) -> None:
-        schema = self._merged(self.schema(), rows.schema)
-        staging = f"{self._load}/staging-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{staging}/batch")
+        state, schema = self._state(), self._merged(self.schema(), rows.schema)
+        folder = None
         if self.keys:
-            # Cut here: the batch is read back instead of being computed twice.
-            fresh = self.spark.read.schema(rows.schema).parquet(f"{staging}/batch")
-            kept = (
-                self.read()
-                .where(F.col(self.day) >= F.lit(first_day))
-                .join(fresh.select(*self.keys).distinct(), self.keys, "left_anti")
+            fresh = self._written(rows, f"{shared_dir(self.spark)}/batch")
+            stored = self.spark.read.schema(self.schema()).parquet(state["merged"] or self.path)
+            kept = stored.where(F.col(self.day) >= F.lit(first_day)).join(
+                fresh.select(*self.keys).distinct(), self.keys, "left_anti"
             )
-            kept.write.parquet(f"{staging}/kept")
-        self._commit(staging, schema, every_day=False)
-
-    def _commit(self, staging: str, schema: StructType, every_day: bool) -> None:
-        nullable = StructType([StructField(f.name, f.dataType, True) for f in schema])
-        note = {"staging": staging, "schema": nullable.json(), "every_day": every_day}
-        self._files.write_text(self._note, json.dumps(note))
-        self._finish_pending()
-
-    def _finish_pending(self) -> None:
-        """Carry out what the note says; every step can be repeated."""
-        text = self._files.read_text(self._note)
-        if text is None:
-            return
-        note = json.loads(text)
-        staging, schema = note["staging"], StructType.fromJson(json.loads(note["schema"]))
-        parts = [f"{staging}/{name}" for name in self._files.folders(staging)]
-        rows = self.spark.read.schema(schema).parquet(*parts)
-        self._write(rows)
-        if note["every_day"]:
-            days = {str(r[0] or _NO_DAY) for r in rows.select(self.day).distinct().collect()}
-            for name in self._files.folders(self.path):
-                if name.startswith(f"{self.day}=") and name.partition("=")[2] not in days:
-                    self._files.delete(f"{self.path}/{name}")
-        self._files.write_text(self._schema_file, note["schema"])
-        self._files.delete(self._note)
-        self._files.delete(staging)
-
-    def _write(self, rows: DataFrame) -> None:
+            both = fresh.unionByName(kept, allowMissingColumns=True).select(*schema.fieldNames())
+            # two folders in turn: a lost load's rows are read while these are written
+            folder = f"{self.path}.merged/{int((state['merged'] or '').endswith('0'))}"
+            rows = self._written(both, folder)
+        else:
+            missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in rows.columns]
+            rows = rows.select("*", *missing)
+        self._save(schema, state["loaded_to"], folder)
+        self._write(rows, "dynamic")
+        self._finish(schema)
+
+    def _finish(self, schema: StructType) -> None:
+        stored = self.days()
+        self._save(schema, stored[-1].isoformat() if stored else None)
+
+    def _written(self, rows: DataFrame, folder: str) -> DataFrame:
+        """The rows written and read back: the source is read once, and not while the table changes."""
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
         # Rebalancing merges the slivers of a small day and splits a large one.
         (
             rows.hint("rebalance", F.col(self.day))
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", mode)
             .partitionBy(self.day)
             .parquet(self.path)
         )

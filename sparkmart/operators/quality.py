@@ -1,7 +1,8 @@
 """Data-quality checks. Each check has failing rows; none means it passed.
 
-The report runs all row-level checks of a table in one scan. Checks across rows
-aggregate on the key before anything else, so a hot key is one row per map task.
+The report reads every table once for all of its checks; row checks can also be
+counted by the job that writes the table. Checks across rows aggregate on the key
+before anything else, so a hot key is one row per map task.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .conform import union_all
@@ -86,50 +87,102 @@ def failing_rows(df: DataFrame, checks: Checks) -> DataFrame:
     return marked.where(F.size("failed_checks") > 0)
 
 
-def _report_rows(table: str, df: DataFrame, checks: Checks) -> DataFrame | None:
-    parts = _row_checks(checks)
-    if not parts:
-        return None
-    counts = df.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(parts)])
-    entries = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(name).alias("check_name"),
-            F.lit(column).alias("column_name"),
-            F.col(f"_{i}").alias("failures"),
-        )
-        for i, (name, column, _) in enumerate(parts)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
-
-
-def _one(table: str, check: str, column: str, failures: DataFrame, measure: Column) -> DataFrame:
-    return failures.agg(F.coalesce(measure, F.lit(0)).cast("bigint").alias("failures")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        F.lit(column).alias("column_name"),
-        "failures",
-    )
+class Watch:
+    """Row checks counted while a table is written: the same job, no scan of its own."""
+
+    def __init__(self, df: DataFrame, checks: Checks):
+        self._parts = _row_checks(checks)
+        self._seen = Observation()
+        counts = [F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(self._parts)]
+        #: The rows to write.
+        self.rows = df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def failures(self) -> dict[tuple[str, str], int]:
+        """(check, column) and the number of failing rows. Waits for the write."""
+        found = self._seen.get
+        return {(name, column): found[f"c{i}"] for i, (name, column, _) in enumerate(self._parts)}
+
+
+class _Plan:
+    """What a report looks at. A slot is a key of a table or a row check; a check reads slots."""
+
+    def __init__(self):
+        self.entries: dict[str, list[Column]] = {}
+        self.slots: dict[tuple, int] = {}
+        self.checks: list[tuple[str, str, str]] = []
+        self.uses: list[tuple[int, int, str]] = []
+
+    def check(self, table: str, name: str, column: str) -> int:
+        self.checks.append((table, name, column))
+        return len(self.checks) - 1
+
+    def failing(self, table: str, check: int, bad: Column) -> None:
+        slot = self.slots[table, check] = len(self.slots)
+        entry = F.struct(F.lit(slot).alias("slot"), F.lit("").alias("value"))
+        self.entries.setdefault(table, []).append(F.when(bad, entry))
+        self.uses.append((slot, check, "rows"))
+
+    def key(self, table: str, columns: tuple[str, ...], check: int, use: str, together: bool = False) -> None:
+        """Count the values of a key, once for all checks that use it. Nulls of one column don't
+        count, those of several columns are values. Values are compared as text: the same id can be
+        text in one system and a number in another."""
+        known = (table, columns, together)
+        if known not in self.slots:
+            slot = self.slots[known] = len(self.slots)
+            value = F.to_json(F.struct(*columns)) if together else F.col(columns[0]).cast("string")
+            entry = F.struct(F.lit(slot).alias("slot"), value.alias("value"))
+            self.entries.setdefault(table, []).append(F.when(value.isNotNull(), entry))
+        self.uses.append((self.slots[known], check, use))
+
+
+def _plan(suite: Mapping[str, Checks], known: Mapping[str, Mapping[tuple[str, str], int]]) -> _Plan:
+    plan = _Plan()
+    for table, checks in suite.items():
+        for name, column, bad in _row_checks(checks):
+            check = plan.check(table, name, column)
+            if table not in known:
+                plan.failing(table, check, bad)
+        for column in checks.unique:
+            plan.key(table, (column,), plan.check(table, "unique", column), "repeated")
+        for columns in checks.unique_together:
+            check = plan.check(table, "unique_together", ", ".join(columns))
+            plan.key(table, tuple(columns), check, "repeated", together=True)
+        for column, (parent, parent_column) in checks.refers_to.items():
+            check = plan.check(table, "relationships", column)
+            plan.key(table, (column,), check, "child")
+            plan.key(parent, (parent_column,), check, "parent")
+    return plan
 
 
-def report(tables: Mapping[str, DataFrame], suite: Mapping[str, Checks]) -> DataFrame:
+def report(
+    tables: Mapping[str, DataFrame],
+    suite: Mapping[str, Checks],
+    known: Mapping[str, Mapping[tuple[str, str], int]] | None = None,
+) -> DataFrame:
     """One row per check with its number of failures.
 
-    Failures count rows, except for uniqueness where they count repeated keys.
+    Failures count rows, except for uniqueness where they count repeated keys. ``known`` holds the
+    row checks of tables that were counted while they were written.
+
+    Every table is read once, for all of its checks, and only the columns they need. A row gives one
+    entry for each key and one for each check that it fails; they are counted before the shuffle, so
+    a hot key is one row a task. A key that several checks use is counted once.
     """
-    rows, keys = F.sum("row_count"), F.count("*")
-    parts: list[DataFrame] = []
-    for name, checks in suite.items():
-        df = tables[name]
-        row_level = _report_rows(name, df, checks)
-        if row_level is not None:
-            parts.append(row_level)
-        for column in checks.unique:
-            parts.append(_one(name, "unique", column, duplicate_values(df, column), keys))
-        for columns in checks.unique_together:
-            label = ", ".join(columns)
-            parts.append(_one(name, "unique_together", label, duplicates(df, columns), keys))
-        for column, (parent, parent_column) in checks.refers_to.items():
-            bad = orphans(df, column, tables[parent], parent_column)
-            parts.append(_one(name, "relationships", column, bad, rows))
-    return union_all(parts)
+    known = known or {}
+    plan = _plan(suite, known)
+    spark = next(iter(tables.values())).sparkSession
+    names = [(i, *names, known.get(names[0], {}).get(names[1:], 0)) for i, names in enumerate(plan.checks)]
+    listed = spark.createDataFrame(names, "check int, table_name string, check_name string, column_name string, before long")
+    if not plan.entries:
+        return listed.select("table_name", "check_name", "column_name", F.col("before").alias("failures"))
+    parts = [tables[t].select(F.inline(F.array_compact(F.array(*entries)))) for t, entries in plan.entries.items()]
+    counts = union_all(parts).groupBy("slot", "value").agg(F.count("*").alias("n"))
+    uses = spark.createDataFrame(plan.uses, "slot int, check int, use string")
+    # as many rows as the suite has checks, whatever the tables hold
+    by_value = counts.join(F.broadcast(uses), "slot").groupBy("check", "value").agg(
+        F.sum(F.when(F.col("use") == "repeated", (F.col("n") > 1).cast("long")).when(F.col("use") != "parent", F.col("n"))).alias("failing"),
+        F.max(F.col("use") == "parent").alias("has_parent"),
+    )
+    failing = by_value.where("NOT has_parent").groupBy("check").agg(F.sum("failing").alias("failing"))
+    failures = (F.col("before") + F.coalesce("failing", F.lit(0))).cast("bigint").alias("failures")
+    return listed.join(failing, "check", "left").select("table_name", "check_name", "column_name", failures)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import day_to_text
 from ..operators.incremental import DayTable, since
+from ..operators.quality import Checks, Watch
 from ..operators.scd2 import History
-from ..sources.files import Files
+from ..sources.catalog import publish, use_schema
 from ..sources.scan import RawTables, seed
 from ..sources.schemas import SEED_DDL
 from . import ads, checks, ga4, intermediate, marts, shopify
@@ -129,6 +130,13 @@ DERIVED: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+# Tables that a run writes, by schema of the catalog.
+WRITTEN = {
+    "staging": ("shopify_order_lines",),
+    "marts_marketing": ("dim_campaigns", "fct_campaign_performance_daily"),
+}
+
+
 class Tables(Mapping[str, DataFrame]):
     """Every table by name. A plan is made when it is first asked for.
 
@@ -140,6 +148,8 @@ class Tables(Mapping[str, DataFrame]):
         self.raw = raw
         self._made: dict[str, DataFrame] = dict(stored or {})
         self._stored = set(self._made)
+        #: Failures of the row checks of written tables.
+        self.row_failures: dict[str, dict[tuple[str, str], int]] = {}
 
     def is_stored(self, name: str) -> bool:
         return name in self._stored
@@ -154,10 +164,15 @@ class Tables(Mapping[str, DataFrame]):
                 self._made[name] = DERIVED[name](self)
         return self._made[name]
 
-    def write(self, name: str, path: str) -> DataFrame:
-        """Write one table; tables made from it afterwards read the written one."""
-        self._made[name] = write_table(self[name], path)
+    def write(self, name: str, schema: str, suite: Checks | None = None) -> DataFrame:
+        """Replace one table of the catalog; tables made from it afterwards read the written one.
+
+        The job that writes it counts the row checks of ``suite``."""
+        watch = Watch(self[name], suite or Checks())
+        self._made[name] = publish(watch.rows, schema, name)
         self._stored.add(name)
+        if suite is not None:
+            self.row_failures[name] = watch.failures()
         return self._made[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -193,25 +208,15 @@ def ad_stats_batch(raw: RawTables) -> Callable[[date | None], DataFrame]:
     return batch
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace a table in full and read it back.
-
-    The new rows are complete before the old ones go, so a run that fails leaves
-    the old table; one that is lost between the two steps is finished by the next.
-    """
-    files = Files(df.sparkSession)
-    files.recover(path)
-    new = f"{path}.new"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(new)
-    files.swap(new, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def run(spark: SparkSession, settings: Settings) -> Tables:
     """Check the raw tables, load the incremental ones, record the history, write
     the marts and check all tables. A failed check stops the run (``ChecksFailed``);
     what was loaded and written stays.
 
+    The catalog's schemas ``staging`` and ``marts_marketing`` hold what is written. A view of
+    a table's plain name is replaced once the new rows are complete. Row checks of these
+    tables are counted by the jobs that write them.
+
     Order lines are written too: two branches of the enriched orders and several
     checks read them, and parsing the JSON once is cheaper than each time.
     """
@@ -245,9 +250,10 @@ def run(spark: SparkSession, settings: Settings) -> Tables:
             "meta_campaigns_history": history.versions(),
         },
     )
-    tables.write("shopify_order_lines", settings.table_path("staging", "shopify_order_lines"))
-    for name in ("dim_campaigns", "fct_campaign_performance_daily"):
-        tables.write(name, settings.table_path("marts_marketing", name))
+    for schema, names in WRITTEN.items():
+        use_schema(spark, settings.schema_prefix + schema, settings.table_path("tables", schema))
+        for name in names:
+            tables.write(name, settings.schema_prefix + schema, checks.SUITE.get(name) if settings.run_checks else None)
     if settings.run_checks:
-        checks.check_tables(tables, raw, settings.spend_tolerance)
+        checks.check_tables(tables, raw, settings.spend_tolerance, known=tables.row_failures)
     return tables

@@ -18,6 +18,7 @@ from ..operators.scd2 import History, as_of, changed_only, in_order, recorded_an
 from ..plans import pipeline
 from ..sources.scan import RawTables
 from ..sources.starschema import raw_tables, star
+from . import marketing
 from .present import Query, day, query, ts
 
 FIRST_LOAD_TO = date(2024, 1, 20)
@@ -194,6 +195,23 @@ def _refreshed(spark: SparkSession, sf: str) -> DataFrame:
     return table.read()
 
 
+def _staged(
+    spark: SparkSession, sf: str, system: str, table: str, load: str, day: str, stale: dict, keys: list[str] | None
+) -> DataFrame:
+    """Two loads of a staging table as the job runs them. The first finds the source some days
+    earlier, with values in its last days that the second finds corrected."""
+    whole, last = raw_tables(spark, sf), F.lit(FIRST_LOAD_TO)
+    rows = whole(system, table)
+    on = F.to_date(F.col(day).cast("string"), "yyyyMMdd") if load == "ga4_batch" else F.col(day)
+    late = on > F.lit(RELOAD_FROM)
+    early = rows.where(on <= last).withColumns({c: F.when(late, F.lit(v)).otherwise(F.col(c)) for c, v in stale.items()})
+    batch = getattr(pipeline, load)
+    loaded = DayTable(spark, f"{shared_dir(spark)}/{table}", "event_date" if load == "ga4_batch" else "date_day", keys)
+    loaded.load(batch(RawTables(spark, frames={(system, table): early})), LOOKBACK)
+    loaded.load(batch(whole), LOOKBACK)
+    return loaded.read()
+
+
 def _ordered(spark: SparkSession, sf: str) -> DataFrame:
     """Versions in order, with the place in which the sort left them.
 
@@ -230,6 +248,16 @@ def _scanned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "ga4_events_loaded": query(
+        lambda spark, sf: _staged(spark, sf, "ga4", "events", "ga4_batch", "event_date", {"event_name": "stale"}, None),
+        marketing.SQL["ga4_events"],
+    ),
+    "meta_ad_stats_daily_loaded": query(
+        lambda spark, sf: _staged(
+            spark, sf, "facebook_marketing", "ads_insights", "ad_stats_batch", "date_start", {"spend": -1.0}, ["ad_id", "date_day"]
+        ),
+        marketing.SQL["meta_ad_stats_daily"],
+    ),
     "full_refresh": query(
         _refreshed,
         f"""SELECT event_id, {day("ts")} AS event_date, event_type, 'refresh' AS source

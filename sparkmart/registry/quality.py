@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -10,11 +12,15 @@ from ..config import shared_dir
 from ..operators.quality import Checks, duplicates, failing_rows, orphans, report
 from ..plans import pipeline
 from ..plans.checks import RAW_SUITE, SUITE
+from ..sources.catalog import use_schema
 from ..sources.scan import conform, raw_schema
 from ..sources.starschema import PROJECTIONS, raw_tables, star
 from . import marketing, store
 from .present import Query, query, seed_values
 
+# The tables that a run writes.
+WRITTEN = [name for names in pipeline.WRITTEN.values() for name in names]
+
 # Checks of the star schema itself; several are meant to fail.
 STAR_SUITE: dict[str, Checks] = {
     "orders": Checks(
@@ -126,16 +132,20 @@ def orphan_parts(spark, sf):
 
 
 def table_report(spark, sf):
-    """All checks of the built tables.
+    """All checks of the built tables, as one plan: each table is made once, with the columns that
+    its checks need."""
+    return report(pipeline.Tables(raw_tables(spark, sf)), SUITE)
+
 
-    The tables are written once and checked from there, as after a load: each is
-    read by many checks, which then scan just the columns they need.
-    """
-    folder = shared_dir(spark)
+def written_report(spark, sf):
+    """The tables that a run writes, checked as it checks them: rows while writing, keys after it."""
+    schema = f"checks_{uuid.uuid4().hex}"
+    use_schema(spark, schema, shared_dir(spark))
     tables = pipeline.Tables(raw_tables(spark, sf))
-    for name in [*pipeline.STAGING, *pipeline.DERIVED]:
-        tables.write(name, f"{folder}/{name}")
-    return report(tables, SUITE)
+    for name in WRITTEN:
+        tables.write(name, schema, SUITE[name])
+    suite = {name: replace(SUITE[name], refers_to={}) for name in WRITTEN}
+    return report(tables, suite, tables.row_failures)
 
 
 # Raw tables with planted failures: the row-by-row projection of a star table without some values,
@@ -187,6 +197,13 @@ def _built_tables_sql() -> str:
     return f"WITH {', '.join(ctes)} " + checks_sql(SUITE, {name: f"t_{name}" for name in SUITE})
 
 
+def _written_sql() -> str:
+    rows = {**store.SQL, **marketing.SQL}
+    ctes = [f"t_{name} AS MATERIALIZED ({rows[name]})" for name in WRITTEN]
+    suite = {name: replace(SUITE[name], refers_to={}) for name in WRITTEN}
+    return f"WITH {', '.join(ctes)} " + checks_sql(suite, {name: f"t_{name}" for name in WRITTEN})
+
+
 QUERIES: dict[str, Query] = {
     "dq_star_report": query(star_report, checks_sql(STAR_SUITE, {n: n for n in STAR_SUITE})),
     "dq_failing_rows": query(
@@ -212,6 +229,7 @@ QUERIES: dict[str, Query] = {
         WHERE l_partkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY 1""",
     ),
     "dq_table_report": query(table_report, _built_tables_sql()),
+    "dq_written_report": query(written_report, _written_sql()),
     "dq_raw_report": query(
         raw_report,
         _raw_report_sql(),

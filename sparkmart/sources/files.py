@@ -54,27 +54,6 @@ class Files:
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
         context.rename(fs.makeQualified(temporary), fs.makeQualified(where), options)
 
-    def swap(self, new: str, path: str) -> None:
-        """Put a complete folder in the place of another. ``recover`` finishes a swap that broke off."""
-        old, fs = self._open(f"{path}.old")
-        where, _ = self._open(path)
-        if fs.exists(where):
-            fs.delete(old, True)
-            fs.rename(where, old)
-        fs.rename(self._open(new)[0], where)
-        fs.delete(old, True)
-
-    def recover(self, path: str) -> None:
-        """Bring back a folder whose swap broke off: the new one if it is complete, else the old."""
-        where, fs = self._open(path)
-        if not fs.exists(where):
-            if self.exists(f"{path}.new/_SUCCESS"):
-                fs.rename(self._open(f"{path}.new")[0], where)
-            elif self.exists(f"{path}.old"):
-                fs.rename(self._open(f"{path}.old")[0], where)
-        if fs.exists(where):
-            fs.delete(self._open(f"{path}.old")[0], True)
-
     def delete(self, path: str) -> None:
         where, fs = self._open(path)
         fs.delete(where, True)

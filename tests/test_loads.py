@@ -1,5 +1,8 @@
 """Incremental tables and type-2 history."""
 
+import shutil
+import threading
+import uuid
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -7,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.operators.incremental import DayTable, since
 from sparkmart.operators.scd2 import History, as_of, changed_only, in_order, recorded_and_source
-from sparkmart.plans.pipeline import write_table
+from sparkmart.sources.catalog import publish, use_schema, versions
 from sparkmart.sources.files import Files
 
 D = date(2024, 1, 10)
@@ -72,26 +75,6 @@ def test_changed_type_is_refused(spark, table):
     assert content(table) == [("a", day(0), 1)]
 
 
-def test_crash_before_the_overwrite_is_finished_by_the_next_run(spark, table, monkeypatch):
-    load(table, frame(spark, [("a", day(5), 1), ("b", day(5), 1)]))
-    original = DayTable._finish_pending
-    calls = iter([original, None])
-
-    def crash_second(self):
-        step = next(calls)
-        if step is None:
-            raise RuntimeError("driver lost")
-        step(self)
-
-    monkeypatch.setattr(DayTable, "_finish_pending", crash_second)
-    with pytest.raises(RuntimeError):
-        load(table, frame(spark, [("a", day(5), 2)]))
-    monkeypatch.undo()
-    load(table, frame(spark, [("c", day(8), 3)]))
-    kept = [("a", day(5), 2), ("c", day(8), 3)] + ([("b", day(5), 1)] if table.keys else [])
-    assert content(table) == sorted(kept)
-
-
 @pytest.mark.parametrize("cuts", [(3, 6, 9), (1, 2, 3, 4, 5, 6, 7, 8, 9), (9,)])
 def test_any_split_inside_the_lookback_equals_a_full_load(spark, tmp_path, cuts):
     data = [(f"r{i % 4}", day(i), i) for i in range(10)] * 2
@@ -247,36 +230,62 @@ class Crash(Exception):
     pass
 
 
-def crash_after(monkeypatch, step):
-    """Let the driver be lost after so many writes, renames and deletions."""
+def crash_after(monkeypatch, step, folder, lost):
+    """Let the driver be lost after so many writes. A lost overwrite leaves some of its days missing
+    and the others in place, as a commit does that moves one folder after the other."""
     left = [step]
-    for owner, name in ((Files, "write_text"), (Files, "delete"), (Files, "swap"), (DayTable, "_write")):
-        def broken(self, *args, call=getattr(owner, name)):
-            call(self, *args)
+
+    def broken(owner, name):
+        call = getattr(owner, name)
+
+        def run(self, *args):
+            result = call(self, *args)
             left[0] -= 1
             if left[0] == 0:
+                if name == "_write":
+                    for day_left in lost:
+                        shutil.rmtree(folder / f"d={day_left}", ignore_errors=True)
                 raise Crash
+            return result
 
-        monkeypatch.setattr(owner, name, broken)
+        monkeypatch.setattr(owner, name, run)
 
+    for owner, name in ((Files, "write_text"), (DayTable, "_written"), (DayTable, "_write")):
+        broken(owner, name)
 
+
+@pytest.mark.parametrize("lost", [[], [day(5)], [day(4), day(5), day(6), day(7)]])
 @pytest.mark.parametrize("step", range(1, 6))
 @pytest.mark.parametrize("refresh", [False, True])
-def test_a_crash_after_any_step_is_recovered(spark, table, monkeypatch, step, refresh):
-    old, new = [("a", day(0), 1), ("a", day(5), 1)], [("b", day(5), 2), ("b", day(6), 2)]
-    for rows, full in ((old, False), (new, refresh)):
-        with monkeypatch.context() as m:
-            crash_after(m, step)
-            try:
-                load(table, frame(spark, rows), full_refresh=full)
-            except Crash:
-                pass
-        load(table, frame(spark, rows), full_refresh=full)
-        assert table.schema() is not None
-    gone = refresh
-    kept = [] if gone else [("a", day(0), 1)] + ([("a", day(5), 1)] if table.keys else [])
-    assert content(table) == sorted(new + kept, key=str)
-    assert table._files.folders(table._load) == []
+def test_a_lost_driver_costs_nothing(spark, table, tmp_path, monkeypatch, step, refresh, lost):
+    """The next load finds the source as it is then, some days later."""
+    old = [("a", day(0), 1), ("a", day(4), 1), ("a", day(5), 1), ("x", day(5), 1), (None, day(4), 1)]
+    new = [("a", day(n), 2) for n in range(4, 15)]  # x and the row without id are gone
+    load(table, frame(spark, old))
+    with monkeypatch.context() as m:
+        crash_after(m, step, tmp_path / "t", lost)
+        try:
+            load(table, frame(spark, new), full_refresh=refresh)
+        except Crash:
+            pass
+    later = [*new, ("a", day(15), 3)]
+    load(table, frame(spark, later), full_refresh=refresh)
+    kept = [] if refresh else [("a", day(0), 1)]
+    if table.keys and not refresh:
+        kept += [("x", day(5), 1), (None, day(4), 1)]
+    got = content(table)
+    if not refresh:  # the first day of a refresh that was lost is made from the source, which has lost it
+        assert got == sorted(later + kept, key=str)
+    assert set(later) <= set(got)
+    assert load(table, frame(spark, later)) == day(13)
+
+
+def test_only_spark_changes_the_table(spark, table, tmp_path):
+    load(table, frame(spark, [("a", day(0), 1), ("a", day(5), 1)]))
+    untouched = sorted((tmp_path / "t" / f"d={day(0)}").iterdir())
+    load(table, frame(spark, [("a", day(5), 2)]))
+    assert sorted((tmp_path / "t" / f"d={day(0)}").iterdir()) == untouched
+    assert not hasattr(Files, "swap") and content(table) == [("a", day(0), 1), ("a", day(5), 2)]
 
 
 def test_keys_without_the_day_are_refused(spark, tmp_path):
@@ -284,20 +293,56 @@ def test_keys_without_the_day_are_refused(spark, tmp_path):
         DayTable(spark, f"file://{tmp_path}/t", "d", ["id"])
 
 
-def test_a_table_survives_a_failed_or_lost_write(spark, tmp_path, monkeypatch):
-    path = f"file://{tmp_path}/mart"
-    assert write_table(spark.range(3), path).count() == 3
+@pytest.fixture
+def schema(spark, tmp_path):
+    name = f"t_{uuid.uuid4().hex}"
+    use_schema(spark, name, f"file://{tmp_path}/it's here")
+    return name
+
+
+def test_a_published_table_is_replaced_as_a_whole(spark, schema, tmp_path):
+    other = spark.newSession()
+    shown = lambda: sorted(r[0] for r in other.sql(f"SELECT id FROM {schema}.mart").collect())
+    assert publish(spark.range(3), schema, "mart").count() == 3 and shown() == [0, 1, 2]
+    started = other.table(f"{schema}.mart")  # a query that is already planned
     with pytest.raises(Exception, match="broken"):
-        write_table(spark.range(5).selectExpr("id", "raise_error('broken') AS x"), path)
-    assert spark.read.parquet(path).count() == 3
-    files = Files(spark)
-    spark.range(4).write.mode("overwrite").parquet(f"{path}.new")
-    (tmp_path / "mart").rename(tmp_path / "mart.old")  # lost between the two renames
-    files.recover(path)
-    assert spark.read.parquet(path).count() == 4 and not (tmp_path / "mart.old").exists()
-    (tmp_path / "mart").rename(tmp_path / "mart.old")
-    files.recover(path)
-    assert spark.read.parquet(path).count() == 4
+        publish(spark.range(5).selectExpr("id", "raise_error('broken') AS x"), schema, "mart")
+    assert shown() == [0, 1, 2]
+    publish(spark.range(4).selectExpr("id + 10 AS id", "'more' AS text"), schema, "mart")
+    assert shown() == [10, 11, 12, 13] and other.table(f"{schema}.mart").columns == ["id", "text"]
+    assert started.count() == 3
+    for n in range(10):  # versions 9 and 10 differ in their number of digits
+        publish(spark.range(n), schema, "mart")
+    assert shown() == list(range(9))
+    assert len(versions(spark, schema, "mart")) == len(list((tmp_path / "it's here").glob("mart__v*/_SUCCESS"))) == 2
+    publish(spark.range(1), schema, "mart_2")
+    assert len(versions(spark, schema, "mart")) == 2 and shown() == list(range(9))
+
+
+def test_readers_see_old_or_new_rows_during_refreshes(spark, schema):
+    publish(spark.range(50), schema, "t")
+    other, seen, done = spark.newSession(), [], threading.Event()
+
+    def reader():
+        while not done.is_set():
+            seen.append(tuple(other.sql(f"SELECT count(*), min(id) FROM {schema}.t").first()))
+
+    thread = threading.Thread(target=reader)
+    thread.start()
+    for n in range(1, 6):
+        publish(spark.range(100 * n, 100 * n + 50), schema, "t")
+    done.set()
+    thread.join()
+    assert seen and set(seen) <= {(50, 100 * n) for n in range(6)}
+
+
+def test_a_publish_that_was_lost_is_not_in_the_way(spark, schema, tmp_path, monkeypatch):
+    publish(spark.range(2), schema, "t")
+    lost = spark.range(9).write.format("parquet")
+    lost.saveAsTable(f"`{schema}`.`t__v2_lost`")  # written, but the view wasn't replaced
+    assert spark.table(f"{schema}.t").count() == 2
+    publish(spark.range(5), schema, "t")
+    assert spark.table(f"{schema}.t").count() == 5 and len(versions(spark, schema, "t")) == 2
 
 
 def folders(path):

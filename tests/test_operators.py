@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sparkmart.operators.conform import conform_union
 from sparkmart.operators.enrich import guard_unique, left_enrich, unmatched
 from sparkmart.operators.latest import latest_per_key
-from sparkmart.operators.quality import Checks, failing_rows, orphans, report
+from sparkmart.operators.quality import Checks, Watch, failing_rows, orphans, report
 
 
 def rows(df):
@@ -112,3 +112,46 @@ def test_orphans_compare_text_with_numbers(spark):
     child = spark.createDataFrame([("1",), ("x9",), ("x9",), (None,)], "id string")
     parent = spark.createDataFrame([(1,)], "id bigint")
     assert rows(orphans(child, "id", parent, "id")) == [("x9", 2)]
+
+
+def test_shared_keys_are_counted_once_and_every_table_is_read_once(spark, tmp_path):
+    spark.createDataFrame([(1, 5, 10), (2, 6, 20), (2, -1, 30)], "id int, amount int, parent int").write.parquet(f"{tmp_path}/t")
+    spark.range(25).write.parquet(f"{tmp_path}/p")
+    tables = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in "tp"}
+    suite = {
+        "t": Checks(not_null=["id", "amount"], unique=["id", "parent"], minimum={"amount": 0}, refers_to={"parent": ("p", "id"), "id": ("p", "id")}),
+        "p": Checks(unique=["id"], refers_to={"id": ("t", "id")}),
+    }
+    df = report(tables, suite)
+    got = {(r.table_name, r.check_name, r.column_name): r.failures for r in df.collect()}
+    assert {k: n for k, n in got.items() if n} == {
+        ("t", "unique", "id"): 1, ("t", "accepted_range", "amount"): 1, ("t", "relationships", "parent"): 1, ("p", "relationships", "id"): 23,
+    }
+    assert len(got) == 9
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    executed = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert executed.count("FileScan parquet") == 2
+
+
+def test_rows_are_checked_while_they_are_written(spark, tmp_path):
+    df = spark.createDataFrame([*CLEAN, (None, "z", -1, 10), (2, "z", 1, 99)], "id int, kind string, amount int, parent int")
+    watch = Watch(df, SUITE["t"])
+    watch.rows.write.parquet(f"{tmp_path}/t")
+    known = watch.failures()
+    assert known == {("not_null", "id"): 1, ("accepted_values", "kind"): 2, ("accepted_range", "amount"): 1}
+    tables = {"t": spark.read.parquet(f"{tmp_path}/t"), "p": spark.createDataFrame(PARENT, "id int")}
+    got, want = (sorted(map(tuple, report(tables, SUITE, k).collect())) for k in ({"t": known}, {}))
+    assert got == want and sum(r[3] for r in got) == 6
+    only_rows = {"t": Checks(not_null=["id"])}
+    assert [tuple(r) for r in report(tables, only_rows, {"t": known}).collect()] == [("t", "not_null", "id", 1)]
+
+
+def test_a_published_table_is_checked_by_the_job_that_writes_it(spark, tmp_path):
+    from sparkmart.plans.pipeline import Tables
+    from sparkmart.sources.catalog import use_schema
+
+    use_schema(spark, "watched", f"file://{tmp_path}")
+    tables = Tables(None, {"t": spark.createDataFrame([*CLEAN, (None, "a", 1, 10)], "id int, kind string, amount int, parent int")})
+    tables.write("t", "watched", SUITE["t"])
+    assert tables.row_failures["t"]["not_null", "id"] == 1 and spark.table("watched.t").count() == 3

@@ -277,7 +277,7 @@ def test_the_whole_job_twice(spark, sf_dir, raw_files, tmp_path):
     def settings(run_time, **kw):
         return Settings(
             f"file://{raw_files}", f"file://{tmp_path}", {"tiktok_marketing": "sandbox_tiktok"},
-            run_time=run_time, run_checks=False, **kw,
+            run_time=run_time, run_checks=False, schema_prefix="twice_", **kw,
         )
 
     pipeline.run(spark, settings(datetime(2024, 6, 1)))
@@ -291,12 +291,15 @@ def test_the_whole_job_twice(spark, sf_dir, raw_files, tmp_path):
     assert as_of(history, datetime(2024, 5, 1)).count() == 0
     pipeline.register_views({"fct": tables["fct_campaign_performance_daily"]})
     assert spark.sql("SELECT count(DISTINCT platform) FROM fct").first()[0] == 4
+    published = spark.newSession().table("twice_marts_marketing.fct_campaign_performance_daily")
+    assert differences(present(published), con, QUERIES["fct_campaign_performance_daily"].sql) is None
     refreshed = pipeline.run(spark, settings(datetime(2024, 6, 3), full_refresh=True))
     assert differences(present(refreshed["ga4_events"]), con, QUERIES["ga4_events"].sql) is None
 
 
 def test_the_job_stops_on_failed_checks(spark, raw_files, tmp_path, monkeypatch):
-    settings = Settings(f"file://{raw_files}", f"file://{tmp_path}", {"tiktok_marketing": "sandbox_tiktok"})
+    overrides = {"tiktok_marketing": "sandbox_tiktok"}
+    settings = Settings(f"file://{raw_files}", f"file://{tmp_path}", overrides, schema_prefix="stops_")
     monkeypatch.setattr(checks, "RAW_SUITE", {"shopify.orders": Checks(unique=["id"], not_null=["closed_at"])})
     with pytest.raises(checks.ChecksFailed, match="shopify.orders: not_null of closed_at failed"):
         pipeline.run(spark, settings)
