@@ -9,13 +9,13 @@ band meet in a bucket.
 Documents with equal sets are one node, however many. In a bucket, candidates are star-shaped: its
 centre against all others, so a bucket of n nodes gives n - 1 pairs. The first centre is the node
 that meets most others over all its buckets, the one in the middle of its group. Pairs are
-confirmed on the full sets. Linked nodes are joined into components; buckets that still hold more
-than one component get another round with new centres, drawn per bucket. A few such rounds join
-most of a group. What they leave is settled exactly: buckets of up to SMALL_BUCKET nodes test every
-pair of different components, and nodes of larger ones meet by a prefix filter. Two sets that are
-similar enough have one of their rarest shingles in common: among the first n - ceil(6 n / 7) + 1 of
-the smaller set and the first n - ceil(3 n / 4) + 1 of the larger one, both in one order by
-frequency. No bucket, group, round or candidate list is capped.
+confirmed on the full sets. Linked nodes are joined into components. Large buckets that still hold
+more than one component get a few rounds more, with new centres drawn per bucket against one member
+of each component. What the stars leave is settled exactly: nodes of buckets with more than one
+component meet by a prefix filter. Two sets that are similar enough have one of their rarest
+shingles in common: among the first n - ceil(6 n / 7) + 1 of the smaller set and the first
+n - ceil(3 n / 4) + 1 of the larger one, both in one order by frequency. No bucket, group, round or
+candidate list is capped.
 
 So every link between documents that share a bucket is found, or its ends are joined by others. Two
 documents at similarity 0.75 share no bucket with a chance below 1 in 100,000.
@@ -42,9 +42,7 @@ SHINGLE, BINS, ROWS = 5, 128, 4
 BANDS = BINS // ROWS
 #: Rounds of stars at most. More of them leave less to the prefix filter; links don't depend on it.
 ROUNDS = 4
-#: In buckets of so few nodes the second round tests every pair of different components: at most
-#: SMALL_BUCKET / 2 pairs a node. Two texts that share their own changes against the middle of a
-#: group meet there, where no centre would link them. Larger buckets are left to the prefix filter.
+#: Buckets of so many nodes get no more than the first star before the prefix filter.
 SMALL_BUCKET = 64
 #: Shingles are counted in 2**SLOT_BITS slots to order them by frequency.
 SLOT_BITS = 20
@@ -262,44 +260,47 @@ def find_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     if sets.count() > sets.select("node").distinct().count():  # repeated rows
         sets = work.stored(sets.dropDuplicates(["node"]), "sets")
 
+    found = work.spark.createDataFrame([], "node long, component long")
     links = work.stored(same.where("a <> b").distinct(), "links")
-    found = components(work, links)
+    if links.limit(1).count():
+        found = components(work, links)
 
-    def in_parts() -> DataFrame:
-        rows = met.join(found, met["id"] == found["node"], "left")
+    def in_parts(rows: DataFrame) -> DataFrame:
+        rows = rows.join(found, rows["id"] == found["node"], "left")
         return rows.select("key", "id", "size", "weight", F.coalesce("component", "id").alias("part"))
 
+    def mixed(rows: DataFrame) -> DataFrame:
+        """The buckets that hold more than one component."""
+        parts = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+        return rows.join(parts.where("low <> high").select("key"), "key")
+
+    def joined(pairs: DataFrame) -> bool:
+        """Confirm pairs and join the components of those that are links."""
+        nonlocal found, links
+        new = work.stored(confirm(pairs, sets), "links")
+        if not new.limit(1).count():
+            return False
+        links = links.union(new)
+        found = components(work, links)
+        return True
+
     for turn in range(ROUNDS):
-        rows_of = in_parts()
+        rows_of = in_parts(met if turn == 0 else met.where(F.col("size") > SMALL_BUCKET))
         order = F.col("weight") if turn == 0 else F.xxhash64("id", "key", F.lit(turn))
-        centres = rows_of.groupBy("key").agg(
-            F.max(F.struct(order.alias("order"), F.col("id").alias("a"), F.col("part").alias("part_a"))).alias("c"),
-            F.min("part").alias("low"),
-            F.max("part").alias("high"),
-        )
+        one = F.max(F.struct(order.alias("order"), F.col("id").alias("a"), F.col("part").alias("part_a"))).alias("c")
+        if turn:  # one member speaks for what is joined already
+            rows_of = rows_of.groupBy("key", "part").agg(F.max(F.struct(order.alias("order"), "id"))["id"].alias("id"))
+            one = F.max(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), F.col("id").alias("a"), F.col("part").alias("part_a"))).alias("c")
+        centres = rows_of.groupBy("key").agg(one, F.min("part").alias("low"), F.max("part").alias("high"))
         centres = centres.where("low <> high").select("key", "c.a", "c.part_a")
         pairs = rows_of.join(centres, "key").where("part <> part_a").select("a", F.col("id").alias("b"))
-        if turn == 1:
-            one = rows_of.where(F.col("size") <= SMALL_BUCKET).select("key", F.col("id").alias("a"), F.col("part").alias("part_a"))
-            two = rows_of.where(F.col("size") <= SMALL_BUCKET).select("key", F.col("id").alias("b"), "part")
-            pairs = pairs.union(one.join(two, "key").where("a < b and part <> part_a").select("a", "b"))
         pairs = pairs.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct() if turn else pairs.distinct()
-        new = work.stored(confirm(pairs, sets), "links")
-        some = new.limit(1).count()
-        if some:
-            links = links.union(new)
-            found = components(work, links)
-        elif turn:
+        if not joined(pairs) and turn:
             break
 
-    large = in_parts().where(F.col("size") > SMALL_BUCKET)
-    mixed = large.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
-    left = work.stored(large.join(mixed, "key").select("id", "part").distinct(), "left")
+    left = work.stored(mixed(in_parts(met)).select("id", "part").distinct(), "left")
     if left.limit(1).count():
-        new = work.stored(confirm(rare_pairs(work, sets, left), sets), "links")
-        if new.limit(1).count():
-            links = links.union(new)
-            found = components(work, links)
+        joined(rare_pairs(work, sets, left))
 
     # the label of a component is an id of a set; its smallest doc_id is the smallest node's
     named = ids.join(found.withColumnRenamed("node", "id"), "id", "left")
