@@ -20,6 +20,7 @@ SYSTEMS = (
     "google_ads",
     "linkedin_ads",
     "tiktok_marketing",
+    "manual",
 )
 
 

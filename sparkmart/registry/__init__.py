@@ -1,6 +1,6 @@
 """All registered queries by name."""
 
-from . import history, marketing, operators, quality, store
+from . import history, marketing, operators, quality, reporting, store
 from .present import Query
 
 QUERIES: dict[str, Query] = {
@@ -9,4 +9,5 @@ QUERIES: dict[str, Query] = {
     **operators.QUERIES,
     **history.QUERIES,
     **quality.QUERIES,
+    **reporting.QUERIES,
 }

@@ -154,6 +154,12 @@ RAW_DDL: dict[str, dict[str, str]] = {
             dimensions string, metrics string,
             _airbyte_extracted_at timestamp""",
     },
+    "manual": {
+        "marketing_calendar": (
+            "entry_type string, name string, start_date date, end_date date, discount_pct double, "
+            "discount_code string, channels string, notes string"
+        ),
+    },
 }
 
 SEED_DDL: dict[str, str] = {

@@ -555,6 +555,21 @@ def tiktok_reports(events: DataFrame) -> DataFrame:
 
 
 # (system, raw table) -> (star-schema table, projection)
+def marketing_calendar(parts: DataFrame) -> DataFrame:
+    """Ranges of some days; some are one day, open or reversed."""
+    base = parts.selectExpr("*", "date_add(date'2024-01-01', cast(p_partkey % 90 as int)) as day", "cast(p_partkey % 4 as int) as kind")
+    return base.selectExpr(
+        "case kind when 0 then 'promotion' when 1 then 'event' when 2 then 'media_change' else 'media_flight' end as entry_type",
+        "p_name as name",
+        "case when p_size <> 11 then day end as start_date",
+        "case when p_size <> 7 then date_add(day, p_size % 9 - 2) end as end_date",
+        "case when kind = 0 then cast(p_size as double) end as discount_pct",
+        "case when kind = 0 then p_brand end as discount_code",
+        "case when kind = 0 then 'all' else 'youtube' end as channels",
+        "cast(null as string) as notes",
+    )
+
+
 PROJECTIONS = {
     ("shopify", "orders"): ("orders", shopify_orders),
     ("shopify", "order_refunds"): ("orders", shopify_order_refunds),
@@ -573,6 +588,7 @@ PROJECTIONS = {
     ("linkedin_ads", "campaigns"): ("customer", linkedin_campaigns),
     ("tiktok_marketing", "campaigns"): ("customer", tiktok_campaigns),
     ("tiktok_marketing", "campaigns_reports_daily"): ("events", tiktok_reports),
+    ("manual", "marketing_calendar"): ("part", marketing_calendar),
 }
 
 
