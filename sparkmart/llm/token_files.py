@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +41,10 @@ MAGIC, BLOCK_IDS = 0x314B4F54, 1 << 16
 FILE_IDS = 1 << 20
 #: Words whose ids a worker remembers at most (about 200 bytes each).
 MAX_WORDS = 600_000
-#: ASCII characters that are neither space nor letter nor digit.
-MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+#: Frequent words that are encoded beforehand at most, texts that they are counted in, and bytes of one.
+LEXICON, SAMPLE, LONGEST = 400_000, 20_000, 64
+#: ASCII characters that are neither space nor letter nor digit, and letters and digits.
+IS_MARK, IS_ALNUM = (np.array([b < 127 and b > 32 and chr(b).isalnum() == wanted for b in range(256)]) for wanted in (False, True))
 
 FILES = "part int, start long, n_ids long, n_docs long, payload binary"
 
@@ -114,87 +117,200 @@ class TokenFile:
         return self.read_ids(int(self.starts[place]), int(self.starts[place + 1]))
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts, ends and kinds of what is encoded by itself, and its n + 1 offsets in the texts.
+
+    The tokenizer drops white space and then splits (as word_bpe_49k does), so a word is encoded by
+    itself, and the punctuation after its last ASCII letter or digit too, since the tokenizer's
+    pattern splits there. Its normalizer writes lower case, so ASCII capitals are the same word. Only
+    words with an added token (kind true) are case-sensitive; they stay whole.
+    """
+    starts, ends, words = spans.word_spans(data, offsets, spans.NOT_SPACE)
+    exact = np.zeros(len(starts), bool)
+    marks = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))  # <|
+    if len(marks):
+        of = np.searchsorted(starts, marks, side="right") - 1
+        exact[of[(of >= 0) & (marks < ends[of])]] = True
+    last = np.maximum.accumulate(np.where(IS_MARK[data], -1, np.arange(len(data))))
+    core = last[ends - 1] + 1 if len(ends) else ends
+    core = np.where(core > starts, core, ends)
+    split = (core < ends) & IS_ALNUM[data[core - 1]] & ~exact
+    after = np.concatenate([[0], np.cumsum(1 + split)])
+    first, tails = np.repeat(starts, 1 + split), after[1:][split] - 1
+    final = np.repeat(ends, 1 + split)
+    first[tails], final[tails - 1] = core[split], core[split]
+    return first, final, np.repeat(exact, 1 + split), after[words]
+
+
+class Lexicon:
+    """The ids of frequent pieces, found by hash and confirmed on their bytes."""
+
+    def __init__(self, words: list[bytes], ids: list[bytes]):
+        def places(parts: list[bytes], width: int) -> np.ndarray:
+            return np.concatenate([[0], np.cumsum([len(x) // width for x in parts], dtype=np.int64)]).astype(np.int64)
+
+        self.bytes, self.at = np.frombuffer(b"".join(words), np.uint8), places(words, 1)
+        self.ids, self.id_at = np.frombuffer(b"".join(ids), "<u4"), places(ids, 4)
+        self.hashes = spans.range_hash(spans.prefix_sums(self.bytes), self.at[:-1], self.at[1:])
+        self.bits = max(4, (4 * len(words)).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        todo, step = np.arange(len(words), dtype=np.int32), 0
+        while len(todo):  # each round takes the free slots; of several that want one, the last gets it
+            slot = self._slot(self.hashes[todo], step)
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = todo[free]
+            todo, step = todo[self.slots[slot] != todo], step + 1
+        self.steps = step
+
+    def _slot(self, hashes: np.ndarray, step: int) -> np.ndarray:
+        return ((hashes >> np.uint64(64 - self.bits)).astype(np.int64) + step) & ((1 << self.bits) - 1)
+
+    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The entry of each piece, -1 for none."""
+        found = np.full(len(starts), -1, np.int32)
+        if not len(self.hashes):
+            return found
+        hashes, todo = spans.range_hash(spans.prefix_sums(data), starts, ends), np.arange(len(starts))
+        for step in range(self.steps):
+            entry = self.slots[self._slot(hashes[todo], step)]
+            hit = (entry >= 0) & (self.hashes[entry] == hashes[todo])
+            found[todo[hit]] = entry[hit]
+            todo = todo[(entry >= 0) & ~hit]
+            if not len(todo):
+                break
+        some = np.flatnonzero(found >= 0)
+        length = ends[some] - starts[some]
+        other = self.at[found[some] + 1] - self.at[found[some]] != length
+        found[some[other]] = -1
+        some, length = some[~other], length[~other]
+        same = data[spans.ragged(starts[some], length)] == self.bytes[spans.ragged(self.at[found[some]], length)]
+        if not same.all():  # an equal hash of other bytes
+            found[some[np.repeat(np.arange(len(some)), length)[~same]]] = -1
+        return found
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer whose words don't see across white space: it drops white space
-    and then splits (as word_bpe_49k does). Equal words are encoded once; ASCII capitals are the
-    same word, and the punctuation after a last ASCII letter or digit is a word of its own, since
-    the tokenizer's pattern splits there and its normalizer writes lower case."""
+    """Ids of texts, piece by piece: frequent pieces come from the lexicon, others from the library
+    and, up to MAX_WORDS of them, from memory."""
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, lexicon: Lexicon | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks have the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.lexicon = lexicon or Lexicon([], [])
         self.words: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
+    def encode_pieces(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each as little-endian unsigned 32-bit integers, from the library."""
+        out: list[bytes] = []
         for at in range(0, len(words), 5_000):
-            part = words[at : at + 5_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                self.words[w] = array("I", e.ids).tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]  # at ASCII white space
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        for w in set().union(*split):
-            core = w.rstrip(MARKS)
-            if b"<|" in w:  # an added token is case-sensitive
-                parts[w] = w, b""
-            elif core and core[-1:].isalnum():
-                parts[w] = core.lower(), w[len(core) :]
-            else:
-                parts[w] = w.lower(), b""
+            part = [x.decode() for x in words[at : at + 5_000]]
+            out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        return out
+
+    def _rest(self, words: list[bytes]) -> list[bytes]:
         known = self.words
-        new = {x for pair in parts.values() for x in pair if x not in known}
+        new = list({w for w in words if w not in known})
         if len(known) + len(new) > MAX_WORDS:
             known.clear()
-            new = {x for pair in parts.values() for x in pair}
-        new.discard(b"")
-        self._learn(list(new))
-        known[b""] = b""
-        ids = {w: known[core] + known[tail] for w, (core, tail) in parts.items()}.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+            new = list(set(words))
+        known.update(zip(new, self.encode_pieces(new)))
+        return [known[w] for w in words]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts and their n + 1 offsets."""
+        raw, offsets = spans.text_bytes(column)
+        starts, ends, exact, texts = pieces(raw, offsets)
+        data = spans.LOWER[raw]
+        entry = self.lexicon.find(data, starts, ends)
+        entry[exact] = -1
+        missing = np.flatnonzero(entry < 0)
+        bounds = zip(starts[missing].tolist(), ends[missing].tolist(), exact[missing].tolist())
+        lower, given = data.tobytes(), raw.tobytes()
+        rest = self._rest([(given if x else lower)[a:b] for a, b, x in bounds])
+        # pool: the lexicon's ids, then those of the other pieces
+        pool = np.concatenate([self.lexicon.ids, np.frombuffer(b"".join(rest), "<u4")])
+        first, count = self.lexicon.id_at[entry], self.lexicon.id_at[entry + 1] - self.lexicon.id_at[entry]
+        lengths = np.array([len(x) // 4 for x in rest], np.int64)
+        first[missing], count[missing] = len(self.lexicon.ids) + np.cumsum(lengths) - lengths, lengths
+        return pool[spans.ragged(first, count)], np.concatenate([[0], np.cumsum(count)])[texts]
 
 
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _encoder(tokenizer_json: str, lexicon: Lexicon | None = None) -> WordEncoder:
+    """A worker's encoder; its memory of words outlives its tasks."""
+    found = _encoders.get(tokenizer_json)
+    if found is None or lexicon is not None and found.lexicon is not lexicon:
+        _encoders.clear()
+        found = _encoders[tokenizer_json] = WordEncoder(tokenizer_json, lexicon)
+    return found
+
+
+def frequent_pieces(texts: DataFrame, tokenizer_json: str) -> Lexicon:
+    """A lexicon of the pieces that are frequent in a sample of SAMPLE texts.
+
+    It only saves time: other pieces are encoded when they occur, with equal results.
+    """
+    rows = texts.count()
+    if not rows:
+        return Lexicon([], [])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in spans.sliced(batches):
+            raw, offsets = spans.text_bytes(batch.column("text"))
+            starts, ends, exact, _ = pieces(raw, offsets)
+            lower = spans.LOWER[raw].tobytes()
+            seen.update(lower[a:b] for a, b in zip(starts[~exact].tolist(), ends[~exact].tolist()) if b - a <= LONGEST)
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["piece", "n"])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = _encoder(tokenizer_json).encode_pieces(batch.column("piece").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(ids, pa.binary())], ["piece", "ids"])
+
+    sample = texts.sample(min(1.0, SAMPLE / rows), seed=7).repartition(32)
+    counts = sample.mapInArrow(count, "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    best = counts.where("n > 1").orderBy(F.col("n").desc(), "piece").limit(LEXICON)
+    table = best.select("piece").repartition(32, "piece").mapInArrow(encode, "piece binary, ids binary").toArrow()
+    return Lexicon(table.column("piece").to_pylist(), table.column("ids").to_pylist())
+
+
 def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int, work: Work) -> DataFrame:
     """The written table of files: part and start order them; part is a range of doc_ids."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
     bits = bits_for(max(tokenizer.get_vocab_size(), end_id + 1))
-    shared = spark.sparkContext.broadcast(tokenizer.to_str())
-    end = np.array([end_id], "<u4").tobytes()
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    shared = spark.sparkContext.broadcast((tokenizer.to_str(), frequent_pieces(rows.select("text"), tokenizer.to_str())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if shared.value not in _encoders:  # a worker's memory of words outlives its tasks
-            _encoders.clear()
-            _encoders[shared.value] = WordEncoder(shared.value)
-        encoder, part, start = _encoders[shared.value], TaskContext.get().partitionId(), 0
+        encoder, part, start = _encoder(*shared.value), TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
-        encoded: list[bytes] = []
+        encoded: list[np.ndarray] = []
+        end = np.array([end_id], "<u4")
         held = 0
 
         def file() -> pa.RecordBatch:
-            lengths = np.array([len(x) // 4 for x in encoded], np.int64)
-            payload = write_file(doc_ids, lengths, np.frombuffer(b"".join(encoded), "<u4"), bits, end_id)
+            lengths = np.array([len(x) + 1 for x in encoded], np.int64)
+            ids = np.concatenate([x for ids in encoded for x in (ids, end)])
+            payload = write_file(doc_ids, lengths, ids, bits, end_id)
             values = ([part], [start], [held], [len(doc_ids)], [payload])
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], [x.split()[0] for x in FILES.split(", ")])
 
         for batch in spans.sliced(batches):
-            data, offsets = spans.text_bytes(batch.column("text"))
-            data, cuts = data.tobytes(), offsets.tolist()
-            texts = [data[a:b] for a, b in zip(cuts, cuts[1:])]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
+            ids, cuts = encoder.encode(batch.column("text"))
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), cuts.tolist(), cuts[1:].tolist()):
                 doc_ids.append(doc_id)
-                encoded.append(ids + end)
-                held += len(ids) // 4 + 1
+                encoded.append(ids[a:b])
+                held += b - a + 1
                 if held >= FILE_IDS:
                     yield file()
                     start, held = start + held, 0
@@ -203,7 +319,6 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_
         if doc_ids:
             yield file()
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     rows = rows.withColumn("_tie", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
     keys = ["doc_id", "_tie", "_row"]
     ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
