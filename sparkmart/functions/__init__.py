@@ -29,5 +29,6 @@ from .urls import (
     percent_decode,
     referrer_domain,
     url_param,
+    url_params,
     without_query_and_fragment,
 )

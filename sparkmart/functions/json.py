@@ -17,7 +17,8 @@ _STRICT = {"mode": "FAILFAST"}
 
 
 def _starts(text: Column, mark: str) -> Column:
-    return F.ltrim(F.translate(text, "\t\n\r", "   ")).startswith(mark)
+    # most documents begin with the mark; only the others are trimmed
+    return text.startswith(mark) | F.ltrim(text, F.lit(" \t\n\r")).startswith(mark)
 
 
 def _kind(text: Column) -> Column:

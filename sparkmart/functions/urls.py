@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import blank_to_null
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 
 def percent_decode(text: Column) -> Column:
     """Decode ``%XX`` escapes; ``+`` and malformed escapes stay as they are.
@@ -32,6 +35,25 @@ def url_param(url: Column, name: str) -> Column:
     return F.when(maybe, blank_to_null(percent_decode(raw)))
 
 
+def url_params(url: Column, wanted: Mapping[str, str]) -> dict[str, Column]:
+    """Many parameters of one URL: ``{column: parameter}``, each as ``url_param`` gives it.
+
+    The URL is split once into parallel arrays of names and values, which every
+    column then looks up. A value is only looked at, not consumed, so that a
+    ``?`` in it begins a name too.
+    """
+    # Fixed value: a parameter starts after ? or & and ends at the next & or #.
+    pattern = F.lit("[?&]([^=?&]*)=(?=([^&#]*))")
+    names = F.regexp_extract_all(F.translate(url, _UPPER, _UPPER.lower()), pattern, F.lit(1))
+    values = F.regexp_extract_all(url, pattern, F.lit(2))
+
+    def value(name: str) -> Column:
+        position = F.array_position(names, name.lower())
+        return blank_to_null(percent_decode(F.get(values, (position - 1).cast("int"))))
+
+    return {column: value(name) for column, name in wanted.items()}
+
+
 def before_query(url: Column) -> Column:
     """The part before ``?``."""
     return F.split_part(url, F.lit("?"), F.lit(1))

@@ -84,11 +84,8 @@ _ADDRESS_TEXT = (
 
 
 def _landing_params(url: Column) -> list[Column]:
-    out = []
-    for name, param in LANDING_PARAMS.items():
-        value = fn.url_param(url, param)
-        out.append((F.lower(value) if name in LOWERED else value).alias(name))
-    return out
+    values = fn.url_params(url, LANDING_PARAMS)
+    return [(F.lower(v) if name in LOWERED else v).alias(name) for name, v in values.items()]
 
 
 def orders(raw: DataFrame) -> DataFrame:

@@ -70,6 +70,16 @@ def test_url_param(spark):
     assert got == list(SOURCES.values())
 
 
+def test_url_params_in_one_pass_equal_each_alone(spark):
+    odd = ["/?a=1&A=2&b=3", "/?A=x?b=y&=z", "/p?b=a=1&a=%41?b", "?&a==", "/#?a=1#b=2", "/?xa=1&a", "/?\u212aa=1&a=\u212a+%zz"]
+    urls = [*SOURCES, *odd, ""]
+    df = spark.createDataFrame(list(enumerate(urls)), "i int, url string")
+    url, names = F.col("url"), {"a": "a", "b": "B", "s": "utm_source", "f": "fbclid"}
+    one_pass = F.struct(*[v.alias(k) for k, v in fn.url_params(url, names).items()])
+    alone = F.struct(*[fn.url_param(url, v).alias(k) for k, v in names.items()])
+    assert df.select(one_pass.alias("got"), alone.alias("want")).where("got is distinct from want").collect() == []
+
+
 def test_url_parts(spark):
     got = zip(many(spark, list(PARTS), fn.without_query_and_fragment), many(spark, list(PARTS), fn.referrer_domain))
     assert list(got) == list(PARTS.values())
