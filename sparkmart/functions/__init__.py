@@ -1,7 +1,7 @@
 """Column builders. Everything is a native expression; there are no UDFs."""
 
 from .arrays import param_value, pivot_params
-from .json import first, parse_array, parse_object, parse_objects, sum_items
+from .json import first, parse_array, parse_object, parse_objects, sum_items, sum_or_null
 from .money import from_cents, from_micros, money, money_from_double, whole
 from .text import (
     blank_to_null,

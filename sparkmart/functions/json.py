@@ -79,3 +79,12 @@ def sum_items(
         kept, zero, lambda acc, item: (acc + F.coalesce(value(item), zero)).cast(dtype)
     )
     return F.coalesce(total, zero)
+
+
+def sum_or_null(items: Column, value: Callable[[Column], Column], dtype: str) -> Column:
+    """As the aggregate ``sum``: null where the array holds no value that isn't null."""
+    return F.aggregate(
+        items,
+        F.lit(None).cast(dtype),
+        lambda acc, item: F.coalesce((acc + value(item)).cast(dtype), acc, value(item).cast(dtype)),
+    )

@@ -18,6 +18,20 @@ MONEY_SUM = "decimal(38,2)"
 # Columns of the order lines that each use below reads.
 LINE_TOTALS = ("order_id", "quantity", "is_gift_card", "gross_amount", "discount_amount")
 LINE_PRODUCTS = ("order_line_id", "product_id")
+# What an order's lines add up to.
+TOTALS = ("line_count", "units_ordered", "gift_card_sales")
+
+
+def _line_totals(order_lines: DataFrame) -> DataFrame:
+    return order_lines.groupBy("order_id").agg(
+        F.count("*").alias("line_count"),
+        F.sum("quantity").alias("units_ordered"),
+        F.sum(
+            F.when(F.col("is_gift_card"), F.col("gross_amount") - F.col("discount_amount"))
+            .otherwise(0)
+            .cast(MONEY_SUM)
+        ).alias("gift_card_sales"),
+    )
 
 
 def orders_enriched(
@@ -30,22 +44,14 @@ def orders_enriched(
     """One row per order with line counts and refunds attributed back to it.
 
     ``line_products`` is the order lines again, narrowed to ``LINE_PRODUCTS``;
-    without it they are taken from ``order_lines``.
+    without it they are taken from ``order_lines``. Orders that carry ``TOTALS``,
+    made inside their rows, keep them, and ``order_lines`` is only read for products.
 
     Each detail table is reduced to one row per order before its join, so an
     order with any number of lines costs one row per map task in the shuffle, and
     all three joins share the partitioning on ``order_id``.
     """
     zero = F.lit(0).cast(MONEY_SUM)
-    line_totals = order_lines.groupBy("order_id").agg(
-        F.count("*").alias("line_count"),
-        F.sum("quantity").alias("units_ordered"),
-        F.sum(
-            F.when(F.col("is_gift_card"), F.col("gross_amount") - F.col("discount_amount"))
-            .otherwise(0)
-            .cast(MONEY_SUM)
-        ).alias("gift_card_sales"),
-    )
     reasons = F.collect_set("return_reason")
     refund_totals = refunds.groupBy("order_id").agg(
         F.count("*").alias("refund_count"),
@@ -74,17 +80,18 @@ def orders_enriched(
             F.size(F.collect_set("product_id")).cast("bigint").alias("refunded_product_count"),
         )
     )
+    sides = [refund_totals, refunded_counts]
+    if not set(TOTALS) <= set(orders.columns):
+        sides.insert(0, _line_totals(order_lines))
     joined = orders
-    for side in (line_totals, refund_totals, refunded_counts):
+    for side in sides:
         joined = left_enrich(joined, side, ["order_id"])
 
     c = F.col
     refunded_units = F.coalesce(c("units_refunded"), F.lit(0))
     joined = joined.select(
-        *orders.columns,
-        "line_count",
-        "units_ordered",
-        "gift_card_sales",
+        *[name for name in orders.columns if name not in TOTALS],
+        *TOTALS,
         F.coalesce(c("refund_count"), F.lit(0)).alias("refund_count"),
         "first_refunded_at",
         "last_refunded_at",

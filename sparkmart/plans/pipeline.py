@@ -78,17 +78,24 @@ def _codes(t: Tables) -> DataFrame:
 
 
 def _orders(t: Tables) -> DataFrame:
-    def lines(columns: Sequence[str]) -> DataFrame:
-        if t.is_stored("shopify_order_lines"):
-            return t["shopify_order_lines"].select(*columns)
+    orders, lines = t["shopify_orders"], None
+    if t.is_stored("shopify_order_lines"):
+        lines = t["shopify_order_lines"]
+    elif not t.is_stored("shopify_orders"):
+        # order ids are unique, or the checks stop the run: totals come with the row
+        orders = shopify.orders(t.raw("shopify", "orders"), line_totals=True)
+
+    def narrow(columns: Sequence[str]) -> DataFrame:
+        if lines is not None:
+            return lines.select(*columns)
         return shopify.order_lines(t.raw("shopify", "orders"), only=columns)
 
     return intermediate.orders_enriched(
-        t["shopify_orders"],
-        lines(intermediate.LINE_TOTALS),
+        orders,
+        narrow(intermediate.LINE_TOTALS),
         t["shopify_order_refunds"],
         t["shopify_order_refund_lines"],
-        lines(intermediate.LINE_PRODUCTS),
+        narrow(intermediate.LINE_PRODUCTS),
     )
 
 

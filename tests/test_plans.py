@@ -313,6 +313,23 @@ def test_the_job_stops_on_failed_checks(spark, raw_files, tmp_path, monkeypatch)
     assert ("dim_campaigns", "unique") not in found
 
 
+def test_line_totals_inside_the_row_equal_those_of_the_line_table(spark):
+    raw = raw_frame(spark, "shopify", "orders", ORDERS)
+    inside = shopify.orders(raw, line_totals=True).select("order_id", *intermediate.TOTALS)
+    lines = intermediate._line_totals(shopify.order_lines(raw))
+    joined = raw.select(F.col("id").alias("order_id")).join(lines, "order_id", "left")
+    assert sorted(map(tuple, inside.collect()), key=str) == sorted(map(tuple, joined.collect()), key=str)
+    assert inside.schema.simpleString() == joined.select("order_id", *intermediate.TOTALS).schema.simpleString()
+
+
+def test_enriched_orders_join_refunds_and_products_only(spark):
+    frames = {("shopify", "orders"): raw_frame(spark, "shopify", "orders", ORDERS),
+              ("shopify", "order_refunds"): raw_frame(spark, "shopify", "order_refunds", REFUNDS)}
+    t = pipeline.Tables(RawTables(spark, frames=frames))
+    optimised = t["orders_enriched"]._jdf.queryExecution().optimizedPlan().toString()
+    assert optimised.count("Join LeftOuter") == 3  # refunds, refunded lines, their products
+
+
 def test_enriched_orders_have_no_expand(spark, sf_dir):
     plan = QUERIES["orders_enriched_lineitem"].run(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Expand" not in plan and "RoundRobin" not in plan
