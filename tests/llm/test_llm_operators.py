@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -154,7 +155,7 @@ def test_page_layout():
     assert html_text.render("a < b <1") == "a < b <1"
     assert html_text.render("<div>" * 5000 + "deep") == "deep"
     nested = "<table><tr><td>a<table><tr><td>b<td>c</table><td>d<tr><td colspan=2>wide</table>"
-    assert html_text.render(nested) == "a b  c  d\nwide"
+    assert html_text.render(nested) == "a     d\n\nb  c\nwide"
     assert html_text.render("<div style='visibility:hidden'>x</div><template>y</template>z<input type=hidden value=v>") == "z"
 
 
@@ -181,6 +182,56 @@ def test_cells_that_span():
     assert [x.index(c) for x, c in zip(html_text.render(wide).split("\n"), "xy")] == [2997, 2997]
 
 
+def test_blocks_inside_cells():
+    for page, text in (
+        ("<table><tr><td><h1>Title</h1><p>Para one.</p><ul><li>a</ul></td>", "Title\n\nPara one.\n\n- a"),
+        ("<table><tr><td><p>a<p>b<td>c<tr><td>long one<td>d</table>", "a         c\n\nb\nlong one  d"),
+        ("<table><tr><td>a<td><pre>x\n y</pre><tr><td>b<td>z</table>", "a  x\n    y\nb  z"),
+        ("<table><tr><td>\u6f22\u5b57<td>a<tr><td>abcd<td>b<tr><td>e\u0301<td>c", "\u6f22\u5b57  a\nabcd  b\ne\u0301     c"),
+    ):
+        assert html_text.render(page) == text, page
+
+
+def test_what_is_seen():
+    for page, text in (
+        ("<p style='visibility:hidden'>a<b style='visibility: visible'>B</b>c</p>", "B"),
+        ("<table style='visibility:hidden'><tr>x<td>a<td style='visibility:visible'>b</table>", "  b"),
+        ("<p style='display:none'>a<b style='visibility:visible'>B</b>c</p>d", "d"),
+        ("<script>a</script x>b", "b"),
+        ("<SCRIPT>'</scripts>'</SCRIPT\n>b", "b"),
+        ("<xmp><b>x</b></xmp>y", "<b>x</b>\n\ny"),
+        ("<xmp>open <i>", "open <i>"),
+        ("a<plaintext><b>x</b></plaintext>", "a\n\n<b>x</b></plaintext>"),
+        ("x<!-- c --!>d<!-->e<!--->f<!-- -- > -->g<!-- open", "xdefg"),
+        ("<dialog>x</dialog><dialog open>y</dialog>", "y"),
+        ("<object>f</object> <canvas>g</canvas>", "f g"),
+    ):
+        assert html_text.render(page) == text, page
+
+
+def test_list_numbers():
+    assert html_text.render("<ol start=5><li>a<li>b</ol>") == "5. a\n6. b"
+    assert html_text.render("<ol reversed><li>a<li hidden>x<li value=9>b<li>c</ol>") == "3. a\n9. b\n8. c"
+    assert html_text.render("<ol reversed start=0><li>a<li>b</ol>") == "0. a\n-1. b"
+    assert html_text.render("<ol start=x><li>a<li value=y>b</ol>") == "1. a\n2. b"
+    assert html_text.render("<ul><li><li>a<ul><li></ul>b</ul>") == "- a\n  b"
+
+
+def test_padding_is_linear_in_the_page():
+    rows, items = "<tr><td>a<td>b" * 3_000, "<ul><li>x" * 3_000
+    for page in (
+        f"<table><tr><td>{'w ' * 20_000}<td>y{rows}</table>",
+        "<table><tr>" + "<td colspan=1000 rowspan=2>x" * 400 + "<tr><td>y" * 200,
+        "<table><tr>" + "<td rowspan=0>x" * 2_000 + "<tr><td>y" * 2_000,
+        items,
+        "<table><tr><td>a<td>b<tr><td>c<td>" * 500,
+    ):
+        text = html_text.render(page)
+        assert len(text) <= html_text.PADDING + (html_text.PADDING_PER_CHARACTER + 2) * len(page)
+        words = re.sub("<[^>]*>", "", page)
+        assert Counter(text.replace("-", "").replace(" ", "").replace("\n", "")) == Counter(words.replace(" ", ""))
+
+
 def test_any_depth():
     for tag in ("div", "b", "font", "span"):
         deep = f"<{tag}>" * 20_000
