@@ -1,14 +1,15 @@
 """Toxicity by subword bags.
 
 A word is the mean of the vectors of its letter sequences (3 to 6 bytes of `<word>`, and the whole);
-a window of WINDOW words is the mean of its different words' vectors, and a linear softmax over
-that mean says how toxic the window is. Vectors and softmax are trained together in numpy on
+a window of WINDOW words, one begins at every STRIDE-th word, is the mean of its different words'
+vectors, and a linear softmax over that mean says how toxic the window is. Vectors and softmax are trained together in numpy on
 documents: a document is as toxic as its worst windows, which a soft maximum weighs. A misspelt word
 shares most of its sequences with the word that was learned.
 
 Only sequences whose share of toxic and other training documents differs by MIN_Z standard
 deviations get a vector; all others stay zero, so rare sequences can't memorise their documents.
-Spark counts the sequences; the driver gets the kept ones and the windows that hold any.
+Spark counts the sequences and brings together the equal words of the sample; the driver gets the
+kept sequences, the different words that hold any and where they stand.
 
 Defined results: words are letters and digits with A-Z in lower case; null and empty texts get the
 score of a window without vectors. Without labels of both classes every score is the share of
@@ -33,14 +34,15 @@ from .work import Work
 
 #: Labelled rows of each class that are learned from at most.
 SAMPLE = {1: 2_000, 0: 4_000}
-WINDOW, SIZES, BUCKET_BITS, DIMENSIONS = 24, (3, 4, 5, 6), 20, 4
+WINDOW, STRIDE, SIZES, BUCKET_BITS, DIMENSIONS = 24, 12, (3, 4, 5, 6), 20, 4
 MIN_Z, MIN_DOCUMENTS, EPOCHS, RATE = 5.0, 4, 300, 0.2
 THRESHOLD = 0.7
 
 
 def different_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes `<word>` of each different word with their offsets, the word of each place, the
-    window of each place and the n + 1 window offsets of the texts (a text has one at least)."""
+    """The bytes `<word>` of each different word with their offsets, the word and the window of each
+    place in a window, and the n + 1 window offsets of the texts (a text has one at least). A place
+    lies in two windows, but for the first and last of a text."""
     data, offsets = spans.text_bytes(column)
     data = spans.LOWER[data]
     starts, ends, words = spans.word_spans(data, offsets, spans.LETTERS)
@@ -54,10 +56,12 @@ def different_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
     text[spans.ragged(marked[:-1] + 1, lengths)] = data[spans.ragged(starts[first], lengths)]
     counts = np.diff(words)
     windows = np.zeros(len(counts) + 1, np.int64)
-    np.cumsum(np.maximum(1, -(-counts // WINDOW)), out=windows[1:])
+    np.cumsum(np.maximum(1, -(-(counts - WINDOW) // STRIDE) + 1), out=windows[1:])
     owner = spans.owner(words)
-    place = (np.arange(len(code)) - words[owner]) // WINDOW + windows[owner]
-    return text, marked, code, place, windows
+    place = (np.arange(len(code)) - words[owner]) // STRIDE + windows[owner]
+    here, before = place < windows[owner + 1], place > windows[owner]
+    place = np.concatenate([place[here], place[before] - 1])
+    return text, marked, np.concatenate([code[here], code[before]]), place, windows
 
 
 def sequences(text: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,34 +172,38 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     place_of = np.full(1 << BUCKET_BITS, -1, np.int32)
     place_of[kept] = np.arange(len(kept))
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each document its label; the window and the word (by hash) of its different words in
-        each window that hold a kept sequence; and word, feature and share of those sequences."""
+    def kept_sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Word (by hash), number of kept sequences and of all; word, window and window offsets of the
+        places; the kept sequences in the order of their words."""
+        text, marked, code, place, windows = different_words(batch.column("text"))
+        names = spans.range_hash(spans.prefix_sums(text), marked[:-1], marked[1:]).view(np.int64)
+        word, bucket = sequences(text, marked)
+        sizes = np.bincount(word, minlength=len(names))
+        order = np.argsort(word, kind="stable")
+        word, at = word[order], place_of[bucket[order]]
+        held = np.bincount(word[at >= 0], minlength=len(names))
+        return names, held, sizes, code, place, windows, at[at >= 0]
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each document its label and the different words with a kept sequence of each window."""
         for batch in spans.sliced(batches, limit=spans.SLICE_BYTES // 4):
-            text, marked, code, place, windows = different_words(batch.column("text"))
-            names = spans.range_hash(spans.prefix_sums(text), marked[:-1], marked[1:]).view(np.int64)
-            word, bucket = sequences(text, marked)
-            sizes = np.bincount(word, minlength=len(names))
-            order = np.argsort(word, kind="stable")
-            word, at = word[order], place_of[bucket[order]]
-            word, at = word[at >= 0], at[at >= 0]
-            held = np.bincount(word, minlength=len(names))
-            starts = np.cumsum(held) - held
+            names, held, _, code, place, windows, _ = kept_sequences(batch)
             some = held[code] > 0
             pairs = np.unique((place[some] << 32) | code[some])
             window, code = pairs >> 32, pairs & 0xFFFFFFFF
             doc = np.searchsorted(windows, window, "right") - 1
-            own = np.unique((doc << 32) | code)  # the different words of each document
-            of, own = own >> 32, own & 0xFFFFFFFF
-            parts = held[own]
-            entry = spans.ragged(starts[own], parts)
-            cuts = [np.searchsorted(x, np.arange(batch.num_rows + 1)) for x in (doc, np.repeat(of, parts))]
-            values = ((0, window - windows[doc]), (0, names[code]), (1, np.repeat(names[own], parts)), (1, at[entry]), (1, np.repeat(1 / sizes[own], parts)))
-            lists = [pa.ListArray.from_arrays(pa.array(cuts[k], pa.int32()), pa.array(x)) for k, x in values]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), *lists], ["label", "window", "word", "of", "feature", "share"])
-
-    kinds = "label int, window array<long>, word array<long>, of array<long>, feature array<int>, share array<double>"
-    got = rows.mapInArrow(features, kinds).toArrow()
+            cuts = pa.array(np.searchsorted(doc, np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (window - windows[doc], names[code])]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *lists], ["label", "window", "word"])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Word, feature and share of each kept sequence of each different word."""
+        for batch in spans.sliced(batches, limit=spans.SLICE_BYTES // 4):
+            names, held, sizes, _, _, _, at = kept_sequences(batch)
+            columns = (np.repeat(names, held), at, np.repeat(1 / np.maximum(sizes, 1), held))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["of", "feature", "share"])
+
+    got = rows.mapInArrow(places, "label int, window array<long>, word array<long>").toArrow()
     label = got["label"].to_numpy().astype(np.float64)
     flat = {k: pa.concat_arrays([c.flatten() for c in got[k].chunks]).to_numpy() for k in got.column_names[1:]}
     sizes = pa.compute.list_value_length(got["window"]).to_numpy()
@@ -203,7 +211,10 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     # windows without kept sequences are all the same: one of them stands for those of a document
     pairs, window = np.unique((owner << 32) | flat["window"], return_inverse=True)
     doc = np.concatenate([pairs >> 32, np.arange(len(label))])
-    entries = np.unique(np.stack([flat["of"], flat["feature"].astype(np.int64), flat["share"].view(np.int64)]), axis=1)
+    entries = rows.mapInArrow(parts, "of long, feature int, share double").distinct().toArrow()
+    # in one order, whatever the partitions
+    entries = np.stack([entries["of"].to_numpy(), entries["feature"].to_numpy().astype(np.int64), entries["share"].to_numpy().view(np.int64)])
+    entries = entries[:, np.lexsort(entries[::-1])]
     names, of = np.unique(entries[0], return_inverse=True)
     word = np.searchsorted(names, flat["word"])
     # between the corpus's share of toxic documents and a half: missing one costs more than its share
