@@ -42,6 +42,11 @@ class Checks:
             )
         )
 
+    def columns(self) -> list[str]:
+        """The table's columns that the checks read."""
+        together = [c for columns in self.unique_together for c in columns]
+        return list(dict.fromkeys([*self.not_null, *self.unique, *together, *self.accepted, *self.minimum, *self.refers_to]))
+
 
 def _row_checks(checks: Checks) -> list[tuple[str, str, Column]]:
     """(check, column, predicate of a failing row) for the checks on single rows."""
@@ -104,35 +109,47 @@ class Watch:
 
 
 class _Plan:
-    """What a report looks at. A slot is a key of a table or a row check; a check reads slots."""
+    """What a report looks at. A slot is a key of a table or a row check. Keys that a reference
+    links form a group, in which each has its place; a check reads one or two places of a group."""
 
     def __init__(self):
-        self.entries: dict[str, list[Column]] = {}
+        self.entries: dict[str, list[tuple[int, Column]]] = {}
         self.slots: dict[tuple, int] = {}
         self.checks: list[tuple[str, str, str]] = []
-        self.uses: list[tuple[int, int, str]] = []
+        self.uses: list[tuple[int, int, int, int | None]] = []
+        self._group: list[int] = []
 
     def check(self, table: str, name: str, column: str) -> int:
         self.checks.append((table, name, column))
         return len(self.checks) - 1
 
+    def _slot(self, known: tuple, table: str, value: Column) -> int:
+        if known not in self.slots:
+            slot = self.slots[known] = len(self.slots)
+            self._group.append(slot)
+            self.entries.setdefault(table, []).append((slot, value))
+        return self.slots[known]
+
     def failing(self, table: str, check: int, bad: Column) -> None:
-        slot = self.slots[table, check] = len(self.slots)
-        entry = F.struct(F.lit(slot).alias("slot"), F.lit("").alias("value"))
-        self.entries.setdefault(table, []).append(F.when(bad, entry))
-        self.uses.append((slot, check, "rows"))
+        self.uses.append((check, self._slot((table, check), table, F.when(bad, F.lit(""))), 1, None))
 
-    def key(self, table: str, columns: tuple[str, ...], check: int, use: str, together: bool = False) -> None:
+    def key(self, table: str, columns: tuple[str, ...], together: bool = False) -> int:
         """Count the values of a key, once for all checks that use it. Nulls of one column don't
         count, those of several columns are values. Values are compared as text: the same id can be
         text in one system and a number in another."""
-        known = (table, columns, together)
-        if known not in self.slots:
-            slot = self.slots[known] = len(self.slots)
-            value = F.to_json(F.struct(*columns)) if together else F.col(columns[0]).cast("string")
-            entry = F.struct(F.lit(slot).alias("slot"), value.alias("value"))
-            self.entries.setdefault(table, []).append(F.when(value.isNotNull(), entry))
-        self.uses.append((self.slots[known], check, use))
+        return self._slot((table, columns, together), table, F.to_json(F.struct(*columns)) if together else F.col(columns[0]).cast("string"))
+
+    def unique(self, check: int, slot: int) -> None:
+        self.uses.append((check, slot, 2, None))
+
+    def refers(self, check: int, child: int, parent: int) -> None:
+        old, new = self._group[child], self._group[parent]
+        self._group = [new if g == old else g for g in self._group]
+        self.uses.append((check, child, 1, parent))
+
+    def places(self) -> list[tuple[int, int]]:
+        """Group and place in it, by slot."""
+        return [(g, self._group[:slot].count(g)) for slot, g in enumerate(self._group)]
 
 
 def _plan(suite: Mapping[str, Checks], known: Mapping[str, Mapping[tuple[str, str], int]]) -> _Plan:
@@ -143,14 +160,13 @@ def _plan(suite: Mapping[str, Checks], known: Mapping[str, Mapping[tuple[str, st
             if table not in known:
                 plan.failing(table, check, bad)
         for column in checks.unique:
-            plan.key(table, (column,), plan.check(table, "unique", column), "repeated")
+            plan.unique(plan.check(table, "unique", column), plan.key(table, (column,)))
         for columns in checks.unique_together:
             check = plan.check(table, "unique_together", ", ".join(columns))
-            plan.key(table, tuple(columns), check, "repeated", together=True)
+            plan.unique(check, plan.key(table, tuple(columns), together=True))
         for column, (parent, parent_column) in checks.refers_to.items():
             check = plan.check(table, "relationships", column)
-            plan.key(table, (column,), check, "child")
-            plan.key(parent, (parent_column,), check, "parent")
+            plan.refers(check, plan.key(table, (column,)), plan.key(parent, (parent_column,)))
     return plan
 
 
@@ -166,7 +182,8 @@ def report(
 
     Every table is read once, for all of its checks, and only the columns they need. A row gives one
     entry for each key and one for each check that it fails; they are counted before the shuffle, so
-    a hot key is one row a task. A key that several checks use is counted once.
+    a hot key is one row a task. A key that several checks use is counted once. Keys that references
+    link meet in the same shuffle, which counts each value by its place in the group.
     """
     known = known or {}
     plan = _plan(suite, known)
@@ -175,14 +192,26 @@ def report(
     listed = spark.createDataFrame(names, "check int, table_name string, check_name string, column_name string, before long")
     if not plan.entries:
         return listed.select("table_name", "check_name", "column_name", F.col("before").alias("failures"))
-    parts = [tables[t].select(F.inline(F.array_compact(F.array(*entries)))) for t, entries in plan.entries.items()]
-    counts = union_all(parts).groupBy("slot", "value").agg(F.count("*").alias("n"))
-    uses = spark.createDataFrame(plan.uses, "slot int, check int, use string")
-    # as many rows as the suite has checks, whatever the tables hold
-    by_value = counts.join(F.broadcast(uses), "slot").groupBy("check", "value").agg(
-        F.sum(F.when(F.col("use") == "repeated", (F.col("n") > 1).cast("long")).when(F.col("use") != "parent", F.col("n"))).alias("failing"),
-        F.max(F.col("use") == "parent").alias("has_parent"),
+    places = plan.places()
+    wide = range(max(place for _, place in places) + 1)
+
+    def entry(slot: int, value: Column) -> Column:
+        group, place = places[slot]
+        return F.struct(F.lit(group).alias("group"), F.lit(place).alias("place"), value.alias("value"))
+
+    parts = [tables[t].select(F.inline(F.array(*[entry(*e) for e in entries]))) for t, entries in plan.entries.items()]
+    entries = union_all([part.where(F.col("value").isNotNull()) for part in parts])
+    counts = entries.groupBy("group", "value").agg(*[F.count_if(F.col("place") == i).alias(f"n{i}") for i in wide])
+    # a check fails by the rows at its place, or by the value if that must not repeat
+    uses = spark.createDataFrame(
+        [(check, *places[slot], least, places[parent][1] if parent is not None else None) for check, slot, least, parent in plan.uses],
+        "check int, group int, place int, least int, parent int",
     )
-    failing = by_value.where("NOT has_parent").groupBy("check").agg(F.sum("failing").alias("failing"))
+    n = F.array(*[f"n{i}" for i in wide])
+    rows = F.get(n, F.col("place"))
+    lost = F.col("parent").isNull() | (F.get(n, F.col("parent")) == 0)
+    # as many rows as the suite has checks, whatever the tables hold
+    found = counts.join(F.broadcast(uses), "group").where((rows >= F.col("least")) & lost)
+    failing = found.groupBy("check").agg(F.sum(F.when(F.col("least") == 2, F.lit(1).cast("long")).otherwise(rows)).alias("failing"))
     failures = (F.col("before") + F.coalesce("failing", F.lit(0))).cast("bigint").alias("failures")
     return listed.join(failing, "check", "left").select("table_name", "check_name", "column_name", failures)

@@ -20,6 +20,8 @@ LINE_TOTALS = ("order_id", "quantity", "is_gift_card", "gross_amount", "discount
 LINE_PRODUCTS = ("order_line_id", "product_id")
 # What an order's lines add up to.
 TOTALS = ("line_count", "units_ordered", "gift_card_sales")
+# Columns of the enriched orders that the use of a code is summed from.
+CODE_USE = ("discount_code", "total_discounts", "net_sales", "created_at")
 
 
 def _line_totals(order_lines: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Settings
+from ..config import Settings, shared_dir
 from ..functions import day_to_text
 from ..operators.incremental import DayTable, since
 from ..operators.quality import Checks, Watch
@@ -88,6 +88,8 @@ def _orders(t: Tables) -> DataFrame:
     def narrow(columns: Sequence[str]) -> DataFrame:
         if lines is not None:
             return lines.select(*columns)
+        if set(columns) <= set(t.kept("shopify_order_lines")):
+            return t["shopify_order_lines"].select(*columns)
         return shopify.order_lines(t.raw("shopify", "orders"), only=columns)
 
     return intermediate.orders_enriched(
@@ -155,12 +157,29 @@ class Tables(Mapping[str, DataFrame]):
         self.raw = raw
         self._made: dict[str, DataFrame] = dict(stored or {})
         self._stored = set(self._made)
+        self._kept: dict[str, tuple[str, ...]] = {}
         #: Failures of the row checks of written tables.
         self.row_failures: dict[str, dict[tuple[str, str], int]] = {}
 
     def is_stored(self, name: str) -> bool:
         return name in self._stored
 
+    def kept(self, name: str) -> tuple[str, ...]:
+        """The columns that ``keep`` left of a table, none if it wasn't called."""
+        return self._kept.get(name, ())
+
+    def keep(self, name: str, columns: Sequence[str] | None = None) -> None:
+        """Make a table once, for a job whose other tables read it: its rows are written to a working
+        folder, with the columns that the job needs. Plans stay as they are for a table that isn't stored."""
+        if name == "shopify_order_lines" and columns and not self.is_stored(name):
+            df = shopify.order_lines(self.raw("shopify", "orders"), only=columns)
+        else:
+            df = self[name] if columns is None else self[name].select(*columns)
+        path = f"{shared_dir(self.raw.spark)}/{name}"
+        df.write.parquet(path)
+        self._made[name] = self.raw.spark.read.schema(df.schema).parquet(path)
+        self._kept[name] = tuple(df.columns)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             if name in SEED_DDL:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import shared_dir
 from ..operators.quality import Checks, duplicates, failing_rows, orphans, report
-from ..plans import pipeline
+from ..plans import intermediate, pipeline
 from ..plans.checks import RAW_SUITE, SUITE
 from ..sources.catalog import use_schema
 from ..sources.scan import conform, raw_schema
@@ -21,6 +21,15 @@ from .present import Query, query, seed_values
 # The tables that a run writes.
 WRITTEN = [name for names in pipeline.WRITTEN.values() for name in names]
 
+# Tables that several others read, with the columns that those need besides the checks; None: all.
+KEPT: dict[str, tuple[str, ...] | None] = {
+    "shopify_order_lines": intermediate.LINE_PRODUCTS,
+    "orders_enriched": intermediate.CODE_USE,
+    "google_campaigns": None,
+    "dim_campaigns": None,
+    "campaign_performance_daily": None,
+}
+
 # Checks of the star schema itself; several are meant to fail.
 STAR_SUITE: dict[str, Checks] = {
     "orders": Checks(
@@ -132,16 +141,19 @@ def orphan_parts(spark, sf):
 
 
 def table_report(spark, sf):
-    """All checks of the built tables, as one plan: each table is made once, with the columns that
-    its checks need."""
-    return report(pipeline.Tables(raw_tables(spark, sf)), SUITE)
+    """All checks of the built tables. Tables that other tables read are made once, before the one
+    plan of the report; it and they have the columns that the checks and these tables need."""
+    tables = pipeline.Tables(raw_tables(spark, sf, spread=True))
+    for name, also in KEPT.items():
+        tables.keep(name, None if also is None else list(dict.fromkeys([*SUITE[name].columns(), *also])))
+    return report(tables, SUITE)
 
 
 def written_report(spark, sf):
     """The tables that a run writes, checked as it checks them: rows while writing, keys after it."""
     schema = f"checks_{uuid.uuid4().hex}"
     use_schema(spark, schema, shared_dir(spark))
-    tables = pipeline.Tables(raw_tables(spark, sf))
+    tables = pipeline.Tables(raw_tables(spark, sf, spread=True))
     for name in WRITTEN:
         tables.write(name, schema, SUITE[name])
     suite = {name: replace(SUITE[name], refers_to={}) for name in WRITTEN}

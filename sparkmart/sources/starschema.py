@@ -554,7 +554,6 @@ def tiktok_reports(events: DataFrame) -> DataFrame:
     )
 
 
-# (system, raw table) -> (star-schema table, projection)
 def marketing_calendar(parts: DataFrame) -> DataFrame:
     """Ranges of some days; some are one day, open or reversed."""
     base = parts.selectExpr("*", "date_add(date'2024-01-01', cast(p_partkey % 90 as int)) as day", "cast(p_partkey % 4 as int) as kind")
@@ -570,6 +569,7 @@ def marketing_calendar(parts: DataFrame) -> DataFrame:
     )
 
 
+# (system, raw table) -> (star-schema table, projection)
 PROJECTIONS = {
     ("shopify", "orders"): ("orders", shopify_orders),
     ("shopify", "order_refunds"): ("orders", shopify_order_refunds),
@@ -592,16 +592,29 @@ PROJECTIONS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    """All raw tables as projections of the star schema in ``sf_dir``."""
+# Raw tables with much work a row, and the star columns by which their rows can be dealt before it.
+SPREAD = {
+    ("shopify", "orders"): ("o_orderkey", "o_custkey", "o_orderdate"),
+    ("shopify", "order_refunds"): ("o_orderkey", "o_custkey", "o_orderdate"),
+    ("ga4", "events"): ("event_id", "user_id", "ts"),
+}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str, spread: bool = False) -> RawTables:
+    """All raw tables as projections of the star schema in ``sf_dir``.
+
+    ``spread`` deals the rows of some over all tasks first, for jobs that read the star tables from
+    few files: one task reads a row group, and a file can be a single one."""
 
     @cache
     def rows(table: str) -> DataFrame:
         return star(spark, sf_dir, table)
 
-    def frame(table: str, project: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
+    def frame(key: tuple[str, str], table: str, project: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
+        if spread and key in SPREAD:
+            return lambda: project(rows(table).repartition(*SPREAD[key]))
         return lambda: project(rows(table))
 
     return RawTables(
-        spark, frames={key: frame(table, project) for key, (table, project) in PROJECTIONS.items()}
+        spark, frames={key: frame(key, table, project) for key, (table, project) in PROJECTIONS.items()}
     )

@@ -155,3 +155,28 @@ def test_a_published_table_is_checked_by_the_job_that_writes_it(spark, tmp_path)
     tables = Tables(None, {"t": spark.createDataFrame([*CLEAN, (None, "a", 1, 10)], "id int, kind string, amount int, parent int")})
     tables.write("t", "watched", SUITE["t"])
     assert tables.row_failures["t"]["not_null", "id"] == 1 and spark.table("watched.t").count() == 3
+
+
+def test_linked_keys_meet_in_one_shuffle(spark):
+    tables = {
+        "a": spark.createDataFrame([("1", 1), ("1", 2), ("x", 2), (None, 9)], "id string, b int"),
+        "b": spark.createDataFrame([(1, "1"), (2, "y"), (2, None)], "id int, a string"),
+    }
+    suite = {
+        "a": Checks(unique=["id"], refers_to={"b": ("b", "id")}),
+        "b": Checks(unique=["id"], unique_together=[["id", "a"]], refers_to={"a": ("a", "id"), "id": ("a", "id")}),
+    }
+    df = report(tables, suite)
+    got = {(r.table_name, r.check_name, r.column_name): r.failures for r in df.collect()}
+    assert got == {
+        ("a", "unique", "id"): 1, ("a", "relationships", "b"): 1,
+        ("b", "unique", "id"): 1, ("b", "unique_together", "id, a"): 0, ("b", "relationships", "a"): 1, ("b", "relationships", "id"): 2,
+    }
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    by_value = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "value#" in line]
+    assert len(by_value) == 1
+    assert "array_compact" not in plan and "filter(" not in plan
+
+
+def test_columns_of_checks():
+    assert SUITE["t"].columns() == ["id", "kind", "amount", "parent"]

@@ -345,3 +345,30 @@ def test_order_lines_parse_only_wanted_fields(spark):
         )
     plan = shopify.order_lines(raw, only=["order_line_id"])._jdf.queryExecution().toString()
     assert "tax_lines" not in plan.split("Optimized Logical Plan")[1]
+
+
+def test_table_report_makes_shared_tables_once(spark, sf_dir):
+    from sparkmart.registry import quality
+
+    plan = quality.table_report(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    # the latest rows of Google campaigns are ranked, and lines parsed, before the report
+    assert "row_number" not in plan and "gift_card" not in plan
+
+
+def test_kept_lines_leave_the_totals_in_the_order(spark, sf_dir):
+    tables = pipeline.Tables(raw_tables(spark, sf_dir))
+    want = tables["orders_enriched"]
+    kept = pipeline.Tables(raw_tables(spark, sf_dir, spread=True))
+    assert kept.kept("shopify_order_lines") == ()
+    kept.keep("shopify_order_lines", ["order_line_id", "order_id", "product_id"])
+    kept.keep("orders_enriched")
+    got = kept["orders_enriched"]
+    assert not kept.is_stored("shopify_order_lines")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_rows_are_dealt_before_the_work(spark, sf_dir):
+    plain, dealt = (raw_tables(spark, sf_dir, **a)("ga4", "events").select("event_timestamp", "user_id") for a in ({}, {"spread": True}))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Project") < plan.index("RepartitionByExpression") and "Repartition" not in plain._jdf.queryExecution().optimizedPlan().toString()
