@@ -94,7 +94,8 @@ class DayTable:
 
     def _rebuild(self, rows: DataFrame) -> None:
         # A static overwrite drops the old rows first, so the new ones are made before it.
-        rows = self._written(rows, f"{shared_dir(self.spark)}/batch")
+        if self._files.exists(self.path):
+            rows = self._written(rows, f"{shared_dir(self.spark)}/batch")
         self._save(rows.schema, None)
         self._write(rows, "static")
         self._finish(rows.schema)

@@ -72,7 +72,7 @@ def events(raw: DataFrame) -> DataFrame:
             c(f"_{name}").alias(name)
             for name in ("utm_campaign", "utm_id", "utm_content", "utm_term", "gclid")
         ],
-        *[fn.url_param(c("_page_location"), p).alias(name) for name, p in CLICK_IDS.items()],
+        *[value.alias(name) for name, value in fn.url_params(c("_page_location"), CLICK_IDS).items()],
         c("collected_traffic_source.srsltid").alias("srsltid"),
         c(f"{click}.default_channel_group").alias("ga4_last_click_channel_group"),
         F.lower(c(f"{click}.source")).alias("ga4_last_click_source"),

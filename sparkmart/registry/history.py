@@ -200,7 +200,7 @@ def _staged(
 ) -> DataFrame:
     """Two loads of a staging table as the job runs them. The first finds the source some days
     earlier, with values in its last days that the second finds corrected."""
-    whole, last = raw_tables(spark, sf), F.lit(FIRST_LOAD_TO)
+    whole, last = raw_tables(spark, sf, spread=True), F.lit(FIRST_LOAD_TO)
     rows = whole(system, table)
     on = F.to_date(F.col(day).cast("string"), "yyyyMMdd") if load == "ga4_batch" else F.col(day)
     late = on > F.lit(RELOAD_FROM)

@@ -410,3 +410,20 @@ def test_a_compaction_that_broke_off_is_invisible(spark, tmp_path):
     assert h.runs() == [] and sorted(map(str, h.versions().collect())) == before
     h.snapshot(spark.createDataFrame(campaigns(), SCHEMA), RUN3 + timedelta(days=9))
     assert h.runs() == [4] and h.versions().where("name = 'U' AND dbt_valid_to IS NULL").count() == 1
+
+
+def test_a_first_load_writes_its_rows_once(spark, table, monkeypatch):
+    written = []
+    call = DayTable._written
+    monkeypatch.setattr(DayTable, "_written", lambda self, rows, folder: written.append(folder) or call(self, rows, folder))
+    load(table, frame(spark, [("a", day(0), 1), ("a", day(5), 1), (None, None, 2)]))
+    assert written == [] and content(table) == [("a", day(0), 1), ("a", day(5), 1), (None, None, 2)]
+    # a refresh drops the old rows, so its own are made before that
+    table.load(lambda first: table.read().where("v = 1"), 2, full_refresh=True)
+    assert len(written) == 1 and content(table) == [("a", day(0), 1), ("a", day(5), 1)]
+
+
+def test_a_first_load_that_failed_is_a_first_load_again(spark, table):
+    with pytest.raises(Exception, match="broken"):
+        load(table, frame(spark, [("a", day(0), 1)]).withColumn("v", F.expr("cast(raise_error('broken') AS int)")))
+    assert load(table, frame(spark, [("b", day(1), 2)])) is None and content(table) == [("b", day(1), 2)]

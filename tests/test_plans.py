@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sparkmart.config import Settings, shared_dir
 from sparkmart.operators.quality import Checks
 from sparkmart.operators.scd2 import as_of
-from sparkmart.plans import checks, intermediate, pipeline, shopify
+from sparkmart.plans import checks, ga4, intermediate, pipeline, shopify
 from sparkmart.registry import QUERIES
 from sparkmart.registry.present import present
 from sparkmart.sources.scan import RawTables, scan, seed, seed_csv, SEED_DIR
@@ -372,3 +372,9 @@ def test_rows_are_dealt_before_the_work(spark, sf_dir):
     assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))
     plan = dealt._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Project") < plan.index("RepartitionByExpression") and "Repartition" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_click_ids_of_a_page_take_one_split(spark, sf_dir):
+    df = pipeline.Tables(raw_tables(spark, sf_dir))["ga4_events"].select(*ga4.CLICK_IDS)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(" not in plan and "regexp_extract_all(" in plan
