@@ -27,3 +27,14 @@ def test_entry_runs(spark):
 def test_query_equals_sql(spark, con, sf_dir, name):
     df = contract.queries()[name](spark, sf_dir)
     assert differences(df, con, contract.oracle_sql()[name]) is None
+
+
+def test_written_tables_start_from_dealt_rows(spark, sf_dir, monkeypatch):
+    from sparkmart.registry import quality
+
+    dealt = []
+    call = quality.raw_tables
+    monkeypatch.setattr(quality, "raw_tables", lambda *a, **k: dealt.append(call(*a, **k)) or dealt[-1])
+    quality.written_report(spark, sf_dir)
+    plan = dealt[0]("shopify", "orders")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
