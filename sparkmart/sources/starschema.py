@@ -13,6 +13,7 @@ from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .scan import RawTables
 
@@ -598,22 +599,45 @@ SPREAD = {
     ("shopify", "order_refunds"): ("o_orderkey", "o_custkey", "o_orderdate"),
     ("ga4", "events"): ("event_id", "user_id", "ts"),
 }
+# Star columns by which rows of the other raw tables are dealt, if the files leave tasks idle.
+SPREAD_UNEVEN = {
+    "customer": ("c_custkey", "c_name"),
+    "events": ("event_id", "user_id", "ts"),
+    "lineitem": ("l_orderkey", "l_suppkey", "l_shipdate"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderdate"),
+}
+
+
+def uneven(df: DataFrame) -> bool:
+    """Whether one task would read more than twice its share of a file scan. Only row counts are read."""
+    tasks = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    most, total = tasks.agg(F.max("n"), F.sum("n")).first()
+    return (most or 0) * df.sparkSession.sparkContext.defaultParallelism > 2 * (total or 0)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str, spread: bool = False) -> RawTables:
     """All raw tables as projections of the star schema in ``sf_dir``.
 
     ``spread`` deals the rows of some over all tasks first, for jobs that read the star tables from
-    few files: one task reads a row group, and a file can be a single one."""
+    few files: one task reads a row group, and a file can be a single one. Rows with little work are
+    only dealt where that is so."""
 
     @cache
     def rows(table: str) -> DataFrame:
         return star(spark, sf_dir, table)
 
+    @cache
+    def even(table: str) -> DataFrame:
+        df = rows(table)
+        if table not in SPREAD_UNEVEN or not uneven(df):
+            return df
+        # a fixed number of tasks: merged by their few bytes, the parts of a union would be one again
+        return df.repartition(spark.sparkContext.defaultParallelism, *SPREAD_UNEVEN[table])
+
     def frame(key: tuple[str, str], table: str, project: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
         if spread and key in SPREAD:
             return lambda: project(rows(table).repartition(*SPREAD[key]))
-        return lambda: project(rows(table))
+        return lambda: project(even(table) if spread else rows(table))
 
     return RawTables(
         spark, frames={key: frame(key, table, project) for key, (table, project) in PROJECTIONS.items()}

@@ -374,6 +374,35 @@ def test_rows_are_dealt_before_the_work(spark, sf_dir):
     assert plan.index("Project") < plan.index("RepartitionByExpression") and "Repartition" not in plain._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_rows_of_a_single_row_group_are_dealt_over_all_tasks(spark, tmp_path):
+    rows = spark.range(4000).selectExpr(
+        "if(id % 10 = 0, null, id div 2) as c_custkey",  # null and repeated keys
+        "concat('Customer#', id) as c_name",
+        "cast(id % 25 as int) as c_nationkey",
+        "id - 100.5D as c_acctbal",
+        "if(id % 3 = 0, 'MACHINERY', null) as c_mktsegment",
+    )
+    tasks = spark.sparkContext.defaultParallelism
+
+    def raw(folder, **how):
+        return raw_tables(spark, str(tmp_path / folder), **how)("linkedin_ads", "campaigns")
+
+    rows.coalesce(1).write.parquet(str(tmp_path / "one" / "customer.parquet"))
+    dealt = raw("one", spread=True)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert dealt.rdd.getNumPartitions() == tasks and max(sizes) < 4000 / tasks * 2
+    # nor do adaptive plans merge them again where the rows are part of a union
+    assert dealt.select("id").unionAll(raw("one", spread=True).select("id")).rdd.getNumPartitions() == 2 * tasks
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, raw("one").collect()))
+    # files that occupy all tasks already are read as they are
+    rows.repartition(tasks).write.parquet(str(tmp_path / "many" / "customer.parquet"))
+    assert "Exchange" not in raw("many", spread=True)._jdf.queryExecution().executedPlan().toString()
+    # and a table without rows is no error
+    rows.limit(0).write.parquet(str(tmp_path / "none" / "customer.parquet"))
+    assert raw("none", spread=True).count() == 0
+
+
+
 def test_click_ids_of_a_page_take_one_split(spark, sf_dir):
     df = pipeline.Tables(raw_tables(spark, sf_dir))["ga4_events"].select(*ga4.CLICK_IDS)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
