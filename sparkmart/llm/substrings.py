@@ -58,6 +58,8 @@ COVERS = {
 #: Keys of a bucket, on average; what one task holds and sorts at a time.
 BUCKET_KEYS = 2_000_000
 BLOCK_BYTES = 2 << 20
+#: Parquet looks at sizes after 100 rows, which here are 200 MB that a writer and a reader would hold.
+FEW_BLOCKS = {"compression": "zstd", "parquet.block.row.count.limit": "4", "parquet.page.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 
 ALONE, SETTLED, SETTLED_AND_SHOWN, OPEN = 0, 1, 2, 3
 BLOCKS = "part int, seq int, n_bytes long, rows binary"
@@ -116,8 +118,14 @@ class Cover:
 
 def _marked(low: np.ndarray, high: np.ndarray, ok: np.ndarray, n: int, which: np.ndarray) -> np.ndarray:
     which = which & ok & (high >= low)
-    change = np.bincount(low[which], minlength=n + 1) - np.bincount(high[which] + 1, minlength=n + 1)[: n + 1]
-    return np.cumsum(change[:n]) > 0
+    return _covered(low[which], high[which] + 1, n)
+
+
+def _covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Which of n bytes lie in any of the ranges."""
+    change = np.bincount(starts, minlength=n + 1)
+    change -= np.bincount(ends, minlength=n + 1)
+    return np.cumsum(change, out=change)[:n] > 0
 
 
 def judge_suffixes(parts: list[np.ndarray]) -> list[np.ndarray]:
@@ -126,24 +134,28 @@ def judge_suffixes(parts: list[np.ndarray]) -> list[np.ndarray]:
     suffix, tail = np.zeros((len(packed), 8), np.uint8), np.zeros((len(packed), 8), np.uint8)
     suffix[:, :5], tail[:, :6] = packed[:, :5], packed[:, 5:]
     suffix, tail = suffix.view("<u8").reshape(-1), tail.view("<u8").reshape(-1)
-    times = 1 + (tail & np.uint64(1)).astype(np.int64)
-    rank = tail >> np.uint64(1)
-    order = np.lexsort((rank, suffix))
-    s, r = suffix[order], rank[order]
-    new_suffix = np.ones(len(s), bool)
-    new_suffix[1:] = s[1:] != s[:-1]
+    del packed  # two of these run beside the JVM: each array goes as soon as it can
+    order = np.lexsort((tail, suffix))
+    suffix, tail = suffix[order], tail[order]
+    new_suffix = np.ones(len(order), bool)
+    new_suffix[1:] = suffix[1:] != suffix[:-1]
+    del suffix
+    twice = (tail & np.uint64(1)).astype(bool)
+    tail >>= np.uint64(1)
     new_rank = new_suffix.copy()
-    new_rank[1:] |= r[1:] != r[:-1]
-    of_rank, of_suffix = np.cumsum(new_rank) - 1, np.cumsum(new_suffix) - 1
-    repeated = np.bincount(of_rank, times[order]) > 1
-    ranks = np.bincount(of_suffix[new_rank])
-    lone = np.bincount(of_suffix[new_rank], ~repeated)
+    new_rank[1:] |= tail[1:] != tail[:-1]
+    del tail
+    starts = np.flatnonzero(new_rank)
+    times = np.diff(np.append(starts, len(order)))
+    repeated = (times > 1) | np.logical_or.reduceat(twice, starts)
+    of_suffix = np.cumsum(new_suffix[starts]) - 1  # of each rank
+    ranks = np.bincount(of_suffix)
+    lone = np.bincount(of_suffix, ~repeated)
     still_open = (ranks > 1) & (lone > 0)
-    answer = np.where(
-        repeated[of_rank],
-        np.where(still_open[of_suffix] & new_rank, SETTLED_AND_SHOWN, SETTLED),
-        np.where(ranks[of_suffix] > 1, OPEN, ALONE),
-    )
+    code = np.where(ranks > 1, np.uint8(OPEN), np.uint8(ALONE))[of_suffix]
+    code[repeated] = SETTLED
+    answer = np.repeat(code, times)
+    answer[starts[repeated & still_open[of_suffix]]] = SETTLED_AND_SHOWN
     out = np.empty(len(order), np.uint8)
     out[order] = answer
     return np.split(out, np.cumsum([len(x) for x in parts])[:-1])
@@ -176,14 +188,13 @@ def _texts(rows: bytes, text: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarr
     return batch, *spans.text_bytes(batch.column(text))
 
 
-def _gathered(answers: list, seq: int, buckets: np.ndarray, n: int) -> np.ndarray:
+def _gathered(answers: list, buckets: np.ndarray, n: int) -> np.ndarray:
     """The answers for one block's ascending keys; a bucket that sent none has only zeros."""
     out = np.zeros(n, np.uint8)
     for x in answers or ():
-        if x["seq"] == seq:
-            low = np.searchsorted(buckets, x["bucket"])
-            found = np.frombuffer(zlib.decompress(x["answers"]), np.uint8)
-            out[low : low + len(found)] = found
+        low = np.searchsorted(buckets, x["bucket"])
+        found = np.frombuffer(zlib.decompress(x["answers"]), np.uint8)
+        out[low : low + len(found)] = found
     return out
 
 
@@ -215,9 +226,9 @@ class Substrings:
                 columns = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in BLOCKS.split(", ")])
 
-        name, buckets = f"llm_blocks_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = docs.mapInArrow(run, BLOCKS).write.format("parquet").option("compression", "zstd")
-        writer.option("path", f"{self.work.dir}/blocks").bucketBy(buckets, "part").saveAsTable(name)
+        name, self.homes = f"llm_blocks_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = docs.mapInArrow(run, BLOCKS).write.format("parquet").options(**FEW_BLOCKS)
+        writer.option("path", f"{self.work.dir}/blocks").bucketBy(self.homes, "part").saveAsTable(name)
         blocks = self.spark.table(name)
         self.spark.sql(f"DROP TABLE {name}")  # the name only: the files stay, and the plan has what it needs
         return blocks
@@ -235,11 +246,13 @@ class Substrings:
         return self.work.stored(rows.mapInArrow(keys, KEYS).groupBy("bucket").applyInArrow(run, ANSWERS), "answers")
 
     def _with(self, answers: DataFrame, name: str, rows: DataFrame | None = None) -> DataFrame:
-        """The blocks with all answers for their task: only the answers are shuffled."""
+        """The blocks with the answers to each: only the answers are shuffled, to where their task's
+        blocks lie. A block gets its own alone; as a range, seq isn't a key that would shuffle blocks."""
         rows = self.blocks if rows is None else rows
-        entry = F.struct("seq", "bucket", "answers")
-        listed = answers.groupBy("part").agg(F.collect_list(entry).alias(name))
-        return rows.join(listed.hint("shuffle_hash"), "part", "left")
+        dealt = answers.withColumnsRenamed({"part": "home", "seq": "of"}).repartition(self.homes, "home")
+        listed = dealt.groupBy("home", "of").agg(F.collect_list(F.struct("bucket", "answers")).alias(name))
+        own = (F.col("part") == F.col("home")) & F.col("seq").between(F.col("of"), F.col("of"))
+        return rows.join(listed.hint("shuffle_hash"), own, "left").drop("home", "of")
 
     def _suffix_keys(self) -> Callable:
         text, length, buckets = self.text, self.length, self.suffix_buckets
@@ -259,7 +272,7 @@ class Substrings:
             for part, seq, rows, first in _each(batches, "part", "seq", "rows", "first"):
                 _, data, offsets = _texts(rows, text)
                 cover = Cover(data, offsets, length)
-                answers = _gathered(first, seq, bucket_of(cover.suffix, suffix_buckets), len(cover.suffix))
+                answers = _gathered(first, bucket_of(cover.suffix, suffix_buckets), len(cover.suffix))
                 _, shown = cover.strings(answers)
                 marked, keys, _ = string_keys(cover, np.flatnonzero(shown))
                 yield _dealt(part, seq, bucket_of(keys, buckets), marked.reshape(-1, 1).view(np.uint8))
@@ -270,18 +283,17 @@ class Substrings:
         """Of a row of `second`: its batch, bytes, offsets and whether each byte is removed."""
         text, length, suffix_buckets, buckets = self.text, self.length, self.suffix_buckets, self.string_buckets
 
-        def judge(seq: int, rows: bytes, first: list, second: list) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
+        def judge(rows: bytes, first: list, second: list) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
             batch, data, offsets = _texts(rows, text)
             cover = Cover(data, offsets, length)
-            answers = _gathered(first, seq, bucket_of(cover.suffix, suffix_buckets), len(cover.suffix))
+            answers = _gathered(first, bucket_of(cover.suffix, suffix_buckets), len(cover.suffix))
             strings, shown = cover.strings(answers)
             at = np.flatnonzero(shown)
             _, keys, place = string_keys(cover, at)
-            found = _gathered(second, seq, bucket_of(keys, buckets), len(keys)).astype(bool)
+            found = _gathered(second, bucket_of(keys, buckets), len(keys)).astype(bool)
             strings[at[found[place]]] = True
             at = np.flatnonzero(strings)
-            change = np.bincount(at, minlength=len(data) + 1) - np.bincount(at + length, minlength=len(data) + 1)
-            return batch, data, offsets, np.cumsum(change[: len(data)]) > 0
+            return batch, data, offsets, _covered(at, at + length, len(data))
 
         return judge
 
@@ -312,7 +324,7 @@ def removed_bytes(spark: SparkSession, docs: DataFrame, length: int = LENGTH) ->
     judge = found.repeated()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, *row in _each(batches, "part", "seq", "rows", "first", "second"):
+        for row in _each(batches, "rows", "first", "second"):
             batch, data, offsets, gone = judge(*row)
             edge = np.zeros(len(gone) + 1, bool)
             edge[1:-1] = gone[:-1]
@@ -334,7 +346,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", le
     judge, schema = found.repeated(), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, *row in _each(batches, "part", "seq", "rows", "first", "second"):
+        for row in _each(batches, "rows", "first", "second"):
             batch, data, offsets, gone = judge(*row)
             kept, lost = data[~gone].tobytes(), np.concatenate([[0], np.cumsum(gone)])
             cuts, old = (offsets - lost[offsets]).tolist(), batch.column(text)

@@ -5,10 +5,12 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from cases import COPY, bag, contamination, edge_docs, edge_rows, empty_docs, near_groups, removed, shingles, words
 from tokenizers import Tokenizer
@@ -435,6 +437,20 @@ def test_texts_without_repeats(llm):
     assert got.columns == edge_docs(llm).columns
 
 
+def test_a_block_gets_its_own_answers_and_few_blocks_a_row_group(llm, small, monkeypatch):
+    monkeypatch.setattr(substrings, "BUCKET_KEYS", 5000)
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 20_000)
+    found = substrings.Substrings(llm, edge_docs(llm, [(i, t, "s", "e", 1) for i, t in small]).coalesce(1))
+    rows = found.second.collect()
+    assert len(rows) > 8 and len({r.part for r in rows}) == 1
+    for name in ("first", "second"):
+        buckets = [[x.bucket for x in r[name] or ()] for r in rows]
+        assert any(buckets) and all(len(x) == len(set(x)) for x in buckets)
+    files = [pq.ParquetFile(f).metadata for f in Path(found.work.dir.removeprefix("file:"), "blocks").glob("*.parquet")]
+    assert sum(m.num_rows for m in files) == len(rows)
+    assert max(m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)) <= 4
+
+
 # 8 sharding
 
 
