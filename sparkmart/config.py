@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -68,6 +69,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside delete their shuffle files when they end, not whenever the driver
+    happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
         Files(spark).delete(path)

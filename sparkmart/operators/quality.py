@@ -137,7 +137,9 @@ class _Plan:
         """Count the values of a key, once for all checks that use it. Nulls of one column don't
         count, those of several columns are values. Values are compared as text: the same id can be
         text in one system and a number in another."""
-        return self._slot((table, columns, together), table, F.to_json(F.struct(*columns)) if together else F.col(columns[0]).cast("string"))
+        # named by place, since every row of the shuffle carries the names
+        several = F.to_json(F.struct(*[F.col(c).alias(str(i)) for i, c in enumerate(columns)]))
+        return self._slot((table, columns, together), table, several if together else F.col(columns[0]).cast("string"))
 
     def unique(self, check: int, slot: int) -> None:
         self.uses.append((check, slot, 2, None))
@@ -152,6 +154,18 @@ class _Plan:
         return [(g, self._group[:slot].count(g)) for slot, g in enumerate(self._group)]
 
 
+def linked(suite: Mapping[str, Checks]) -> list[list[str]]:
+    """The tables of a suite in parts that no reference links: each can be reported on its own."""
+    parents = [parent for checks in suite.values() for parent, _ in checks.refers_to.values()]
+    part = {table: [table] for table in [*suite, *parents]}
+    for table, checks in suite.items():
+        for parent, _ in checks.refers_to.values():
+            if part[table] is not part[parent]:
+                part[parent] += part[table]
+                part.update(dict.fromkeys(part[table], part[parent]))
+    return list({id(p): p for p in part.values()}.values())
+
+
 def _plan(suite: Mapping[str, Checks], known: Mapping[str, Mapping[tuple[str, str], int]]) -> _Plan:
     plan = _Plan()
     for table, checks in suite.items():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
@@ -268,7 +268,7 @@ def campaigns_unioned(by_platform: Mapping[str, DataFrame]) -> DataFrame:
     )
     c = F.col
     return unioned.select(
-        fn.surrogate_key(c("platform"), c("campaign_id")).alias("campaign_key"),
+        campaign_key(),
         "platform",
         "campaign_id",
         "campaign_name",
@@ -278,6 +278,10 @@ def campaigns_unioned(by_platform: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def campaign_key() -> Column:
+    return fn.surrogate_key(F.col("platform"), F.col("campaign_id")).alias("campaign_key")
+
+
 # Additive measures kept per campaign and day, with their types.
 MEASURES = {
     "spend": MONEY_SUM,
@@ -314,7 +318,7 @@ def campaign_performance_daily(
         {"campaign_id": "string", "date_day": "date", **MEASURES},
     )
     return unioned.select(
-        fn.surrogate_key(F.col("platform"), F.col("campaign_id")).alias("campaign_key"),
+        campaign_key(),
         "platform",
         *grain,
         *MEASURES,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings, shared_dir
@@ -14,6 +14,7 @@ from ..operators.incremental import DayTable, since
 from ..operators.quality import Checks, Watch
 from ..operators.scd2 import History
 from ..sources.catalog import publish, use_schema
+from ..sources.files import Files
 from ..sources.scan import RawTables, seed
 from ..sources.schemas import SEED_DDL
 from . import ads, checks, ga4, intermediate, marts, shopify
@@ -158,6 +159,7 @@ class Tables(Mapping[str, DataFrame]):
         self._made: dict[str, DataFrame] = dict(stored or {})
         self._stored = set(self._made)
         self._kept: dict[str, tuple[str, ...]] = {}
+        self._folders: dict[str, str] = {}
         #: Failures of the row checks of written tables.
         self.row_failures: dict[str, dict[tuple[str, str], int]] = {}
 
@@ -168,17 +170,27 @@ class Tables(Mapping[str, DataFrame]):
         """The columns that ``keep`` left of a table, none if it wasn't called."""
         return self._kept.get(name, ())
 
-    def keep(self, name: str, columns: Sequence[str] | None = None) -> None:
+    def keep(self, name: str, columns: Sequence[str] | None = None, made_again: Sequence[Column] = ()) -> None:
         """Make a table once, for a job whose other tables read it: its rows are written to a working
-        folder, with the columns that the job needs. Plans stay as they are for a table that isn't stored."""
+        folder, with the columns that the job needs. Plans stay as they are for a table that isn't stored.
+
+        ``made_again`` are columns that are made from the written ones when they are read."""
         if name == "shopify_order_lines" and columns and not self.is_stored(name):
             df = shopify.order_lines(self.raw("shopify", "orders"), only=columns)
         else:
             df = self[name] if columns is None else self[name].select(*columns)
         path = f"{shared_dir(self.raw.spark)}/{name}"
-        df.write.parquet(path)
-        self._made[name] = self.raw.spark.read.schema(df.schema).parquet(path)
+        written = df.drop(*df.select(*made_again).columns) if made_again else df
+        written.write.option("compression", "zstd").parquet(path)
+        stored = self.raw.spark.read.schema(written.schema).parquet(path)
+        self._made[name] = stored.select("*", *made_again).select(*df.columns)
         self._kept[name] = tuple(df.columns)
+        self._folders[name] = path
+
+    def drop(self, name: str) -> None:
+        """Delete what ``keep`` wrote, once no table that was made from it is read any more."""
+        Files(self.raw.spark).delete(self._folders.pop(name))
+        del self._made[name], self._kept[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:

@@ -8,8 +8,8 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from ..config import shared_dir
-from ..operators.quality import Checks, duplicates, failing_rows, orphans, report
+from ..config import shared_dir, shuffles_dropped
+from ..operators.quality import Checks, duplicates, failing_rows, linked, orphans, report
 from ..plans import intermediate, pipeline
 from ..plans.checks import RAW_SUITE, SUITE
 from ..sources.catalog import use_schema
@@ -21,14 +21,34 @@ from .present import Query, query, seed_values
 # The tables that a run writes.
 WRITTEN = [name for names in pipeline.WRITTEN.values() for name in names]
 
-# Tables that several others read, with the columns that those need besides the checks; None: all.
+# Columns that other tables need of a table that is made once, besides the checks; None: all.
 KEPT: dict[str, tuple[str, ...] | None] = {
-    "shopify_order_lines": intermediate.LINE_PRODUCTS,
-    "orders_enriched": intermediate.CODE_USE,
     "google_campaigns": None,
-    "dim_campaigns": None,
     "campaign_performance_daily": None,
+    "dim_campaigns": None,
+    "fct_campaign_performance_daily": (),
+    "shopify_order_lines": intermediate.LINE_PRODUCTS,
+    "orders_enriched": intermediate.CODE_USE,
 }
+# Steps of the table report, so that few of these tables and the shuffle of one part lie on disk at a
+# time: what is made once, tables of the parts that are then reported (none: all that are left), and
+# what is deleted after it.
+STEPS: tuple[tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]], ...] = (
+    (("google_campaigns", "campaign_performance_daily"), ("campaigns_unioned",), ()),
+    (
+        ("dim_campaigns", "fct_campaign_performance_daily"),
+        ("dim_campaigns",),
+        ("campaign_performance_daily", "dim_campaigns", "fct_campaign_performance_daily"),
+    ),
+    ((), ("google_campaigns",), ("google_campaigns",)),
+    (
+        ("shopify_order_lines", "orders_enriched"),
+        ("orders_enriched", "discount_codes_enriched"),
+        ("orders_enriched",),
+    ),
+    ((), ("shopify_orders",), ("shopify_order_lines",)),
+    ((), (), ()),
+)
 
 # Checks of the star schema itself; several are meant to fail.
 STAR_SUITE: dict[str, Checks] = {
@@ -141,12 +161,24 @@ def orphan_parts(spark, sf):
 
 
 def table_report(spark, sf):
-    """All checks of the built tables. Tables that other tables read are made once, before the one
-    plan of the report; it and they have the columns that the checks and these tables need."""
+    """All checks of the built tables. Tables that other tables read are made once; they have the
+    columns that the checks and these tables need. Tables that references link are reported together,
+    the others one part after another, and what a part leaves on disk goes before the next."""
     tables = pipeline.Tables(raw_tables(spark, sf, spread=True))
-    for name, also in KEPT.items():
-        tables.keep(name, None if also is None else list(dict.fromkeys([*SUITE[name].columns(), *also])))
-    return report(tables, SUITE)
+    parts, found = linked(SUITE), []
+    with shuffles_dropped(spark):
+        for made, chosen, dropped in STEPS:
+            for name in made:
+                also = KEPT[name]
+                # 32 hex digits a row and day, twice what the rest of the row takes
+                again = [intermediate.campaign_key()] if name == "campaign_performance_daily" else []
+                tables.keep(name, None if also is None else list(dict.fromkeys([*SUITE[name].columns(), *also])), again)
+            now = [p for p in parts if not chosen or set(p) & set(chosen)]
+            parts = [p for p in parts if p not in now]
+            found += report(tables, {name: checks for name, checks in SUITE.items() if any(name in p for p in now)}).collect()
+            for name in dropped:
+                tables.drop(name)
+    return spark.createDataFrame(found, "table_name string, check_name string, column_name string, failures bigint")
 
 
 def written_report(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sparkmart.operators.conform import conform_union
 from sparkmart.operators.enrich import guard_unique, left_enrich, unmatched
 from sparkmart.operators.latest import latest_per_key
-from sparkmart.operators.quality import Checks, Watch, failing_rows, orphans, report
+from sparkmart.operators.quality import Checks, Watch, failing_rows, linked, orphans, report
 
 
 def rows(df):
@@ -180,3 +180,9 @@ def test_linked_keys_meet_in_one_shuffle(spark):
 
 def test_columns_of_checks():
     assert SUITE["t"].columns() == ["id", "kind", "amount", "parent"]
+
+
+def test_linked_tables_stay_together():
+    to = lambda *tables: Checks(refers_to={t: (t, "id") for t in tables})
+    got = linked({"a": to("b"), "c": to("d"), "b": to(), "e": to("e"), "d": to("b", "out")})
+    assert sorted(map(sorted, got)) == [["a", "b", "c", "d", "out"], ["e"]]

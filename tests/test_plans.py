@@ -3,6 +3,7 @@
 import json
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from compare import connect, differences
@@ -355,6 +356,40 @@ def test_table_report_makes_shared_tables_once(spark, sf_dir):
     assert "row_number" not in plan and "gift_card" not in plan
 
 
+def test_table_report_leaves_nothing_on_disk(spark, sf_dir):
+    from sparkmart.registry import quality
+
+    left = lambda: {str(p) for p in Path(spark.conf.get("spark.checkpoint.dir")).glob("sparkmart-*/*")}
+    shuffles = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    cleanup = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    folders, before = left(), shuffles.size()
+    found = quality.table_report(spark, sf_dir).collect()
+    assert len(found) == sum(map(len, checks.SUITE.values())) == len({r[:3] for r in found})
+    assert left() <= folders and shuffles.size() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == cleanup
+
+
+def test_a_dropped_table_is_a_plan_again(spark, sf_dir):
+    tables = pipeline.Tables(raw_tables(spark, sf_dir))
+    want = sorted(map(str, tables["meta_campaigns"].select("campaign_id").collect()))
+    tables.keep("meta_campaigns", ["campaign_id"])
+    (folder,) = {str(Path(f).parent) for f in tables["meta_campaigns"].inputFiles()}
+    tables.drop("meta_campaigns")
+    assert not Path(folder.removeprefix("file:")).exists() and tables.kept("meta_campaigns") == ()
+    assert sorted(map(str, tables["meta_campaigns"].select("campaign_id").collect())) == want
+
+
+def test_kept_rows_make_a_key_again(spark, sf_dir):
+    tables = pipeline.Tables(raw_tables(spark, sf_dir))
+    name = "campaign_performance_daily"
+    plain = tables[name]
+    want = sorted(map(str, plain.collect()))
+    tables.keep(name, made_again=[intermediate.campaign_key()])
+    assert "campaign_key" not in spark.read.parquet(str(Path(tables[name].inputFiles()[0]).parent)).columns
+    assert tables[name].schema.simpleString() == plain.schema.simpleString()
+    assert sorted(map(str, tables[name].collect())) == want
+
+
 def test_kept_lines_leave_the_totals_in_the_order(spark, sf_dir):
     tables = pipeline.Tables(raw_tables(spark, sf_dir))
     want = tables["orders_enriched"]
