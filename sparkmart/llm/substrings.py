@@ -42,6 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import shuffles_dropped
 from . import spans
 from .work import Work
 
@@ -243,7 +244,8 @@ class Substrings:
             table = table.select(["bucket", "part", "seq"]).take(pa.array(some, pa.int64()))
             return table.append_column("answers", pa.array([zlib.compress(found[i].tobytes(), 1) for i in some], pa.binary()))
 
-        return self.work.stored(rows.mapInArrow(keys, KEYS).groupBy("bucket").applyInArrow(run, ANSWERS), "answers")
+        with shuffles_dropped(self.spark):  # the keys of one pass are gone before those of the next are shuffled
+            return self.work.stored(rows.mapInArrow(keys, KEYS).groupBy("bucket").applyInArrow(run, ANSWERS), "answers")
 
     def _with(self, answers: DataFrame, name: str, rows: DataFrame | None = None) -> DataFrame:
         """The blocks with the answers to each: only the answers are shuffled, to where their task's

@@ -440,7 +440,11 @@ def test_texts_without_repeats(llm):
 def test_a_block_gets_its_own_answers_and_few_blocks_a_row_group(llm, small, monkeypatch):
     monkeypatch.setattr(substrings, "BUCKET_KEYS", 5000)
     monkeypatch.setattr(substrings, "BLOCK_BYTES", 20_000)
-    found = substrings.Substrings(llm, edge_docs(llm, [(i, t, "s", "e", 1) for i, t in small]).coalesce(1))
+    docs = edge_docs(llm, [(i, t, "s", "e", 1) for i, t in small]).coalesce(1)
+    shuffles = llm.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    before = shuffles.size()
+    found = substrings.Substrings(llm, docs)
+    assert shuffles.size() <= before + 2  # of the rows' own dealing and of the sum of bytes, none of keys
     rows = found.second.collect()
     assert len(rows) > 8 and len({r.part for r in rows}) == 1
     for name in ("first", "second"):
